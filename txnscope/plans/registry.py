@@ -392,9 +392,93 @@ def _registry() -> dict[str, tuple[Query, str | None]]:
             "sum(pos) OVER () AS tp FROM ("
             "SELECT score, count(*) FILTER (WHERE label = 1) AS pos, "
             "count(*) FILTER (WHERE label <> 1) AS neg FROM scored GROUP BY score) g) w) a")))
+    _add_learning(r)
+    _add_streaming(r)
     return r
 
 
+# --- learning (no SQL twin: hash split, resampling, fitted models) -------------------
+def _resampled(spark, sf):
+    from txnscope.learning import models as M
+    from txnscope.learning.smote import smote
+    from txnscope.learning.split import stratified_split
+    train, test = stratified_split(M.prepare(_L(spark, sf)))
+    return smote(train, MODEL_FEATURES), test
+
+
+def _add_learning(r: dict) -> None:
+    from pyspark.ml.functions import vector_to_array
+
+    from txnscope.learning import models as M
+    from txnscope.learning.split import test_side
+
+    r["m1_split_sides"] = (
+        lambda s, d: _L(s, d).select(
+            "txn_id", "isFraud",
+            F.when(test_side("txn_id", label="isFraud"), "test").otherwise("train").alias("side")),
+        None)
+    r["m2_smote_training_set"] = (lambda s, d: _resampled(s, d)[0], None)
+
+    def scaled(s, d):
+        from pyspark.ml.feature import StandardScaler, VectorAssembler
+        train, test = _resampled(s, d)
+        va = VectorAssembler(inputCols=MODEL_FEATURES, outputCol="raw", handleInvalid="skip")
+        sc = StandardScaler(inputCol="raw", outputCol="z", withMean=True, withStd=True) \
+            .fit(va.transform(train))
+        return sc.transform(va.transform(test)).select(
+            "txn_id", "isFraud", vector_to_array("z").alias("scaled"))
+    r["m3_scaled_test_features"] = (scaled, None)
+
+    def batch_scores(s, d):
+        train, _ = _resampled(s, d)
+        n = train.count()
+        lr = M.pipeline(M.classifier("Logistic Regression", M.ModelSpec(), n)) \
+            .fit(M.with_weights(train))
+        return M.score_transactions(lr, _L(s, d)).select(
+            "txn_id", "type", "amount", "prediction", "label", "confidence", "risk_level",
+            F.array_join("flags", "|").alias("flags"))
+    r["m15_batch_scores"] = (batch_scores, None)
+    r["m17_model_comparison"] = (
+        lambda s, d: M.metric_table(M.compare_models(_L(s, d)).report), None)
+
+
+# --- streaming: bounded replay of the ledger through the consumer -------------------
+def _stream_run(spark, sf):
+    import uuid
+
+    from txnscope.session import scratch_path
+    from txnscope.streaming import consumer as W
+    base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    W.replay_messages(_L(spark, sf), f"{base}/in")
+    W.run_bounded(spark, W.message_source(spark, f"{base}/in"), W.rule_scorer(),
+                  f"{base}/alerts", f"{base}/stats", f"{base}/ckpt", f"{base}/rejects")
+    return base
+
+
+STREAM_ID = ("concat_ws('-', substring(h, 1, 8), substring(h, 9, 4), substring(h, 13, 4), "
+             "substring(h, 17, 4), substring(h, 21, 12))")
+
+
+def _add_streaming(r: dict) -> None:
+    from txnscope.streaming import consumer as W
+
+    def alerts(s, d):
+        base = _stream_run(s, d)
+        return s.read.parquet(f"{base}/alerts").drop("saved_at") \
+            .withColumn("flags", F.array_join("flags", "|"))
+    r["w3_stream_alerts"] = (alerts, _with(ALERTS_CTE, body=(
+        f"SELECT {STREAM_ID} AS transaction_id, type, amount, confidence, risk_level, "
+        "array_to_string(flags, '|') AS flags, timestamp, nameOrig, nameDest "
+        "FROM (SELECT *, sha256(transaction_id) AS h FROM alerts) a")))
+
+    def final(s, d):
+        base = _stream_run(s, d)
+        return W.final_totals(s, f"{base}/stats").drop("recorded_at")
+    r["w7_stream_final_totals"] = (final, _with(STATS_CTE, body=(
+        "SELECT processed, fraud_count, fraud_rate, avg_confidence FROM stats "
+        "ORDER BY recorded_at DESC LIMIT 1")))
+
+
 _REGISTRY: dict[str, tuple[Query, str | None]] | None = None
 
 

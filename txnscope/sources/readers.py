@@ -88,11 +88,11 @@ def split_valid(spark: SparkSession, csv_path: str, staging: str) -> tuple[DataF
     schema = T.StructType(TXN_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType())])
     raw = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", CORRUPT).csv(csv_path))
-    flagged = raw.withColumn("_rejected", F.col(CORRUPT).isNotNull())
+    flagged = raw.withColumn("_rejected", F.col(CORRUPT).isNotNull().cast("int"))
     write_table(flagged, staging, partition_by=["_rejected"])
     staged = spark.read.parquet(staging)
-    accepted = staged.filter(~F.col("_rejected")).drop(CORRUPT, "_rejected")
-    rejected = staged.filter(F.col("_rejected")).select(CORRUPT)
+    accepted = staged.filter(F.col("_rejected") == 0).drop(CORRUPT, "_rejected")
+    rejected = staged.filter(F.col("_rejected") == 1).select(CORRUPT)
     return accepted, rejected
 
 
@@ -108,7 +108,7 @@ def load_transactions(spark: SparkSession, csv_path: str, transactions: str, fra
     out = {"skipped": False, "transactions": 0, "fraud_cases": 0, "rejected": 0}
     if not have_txn:
         write_table(accepted, transactions, mode="append")
-        out["transactions"] = spark.read.parquet(staging).filter(~F.col("_rejected")).count()
+        out["transactions"] = accepted.count()
     if not have_fraud:
         write_table(accepted.filter(F.col("isFraud") == 1), fraud_cases, mode="append")
         out["fraud_cases"] = accepted.filter(F.col("isFraud") == 1).count()
