@@ -255,7 +255,7 @@ def _registry() -> dict[str, tuple[Query, str | None]]:
                     "format('{:,.0f}', amount) AS amount_text, round(amount, 2) AS amount_2dp "
                     "FROM ledger"))
     r["f21_amount_p90"] = (
-        lambda s, d: _L(s, d).agg(F.percentile("amount", 0.9).alias("p90_amount")),
+        lambda s, d: me.exact_percentile(_L(s, d), "amount", 0.9, "p90_amount"),
         with_ledger("SELECT quantile_cont(amount, 0.9) AS p90_amount FROM ledger"))
 
     # --- alert and stats tables ----------------------------------------------------
