@@ -53,8 +53,11 @@ def parse_messages(raw: DataFrame) -> DataFrame:
     ok = c("transaction_id").isNotNull()
     for f in RAW_SCORING_FIELDS:
         ok = ok & c(f).isNotNull()
+    # A message without a readable timestamp is stamped on arrival (as the
+    # original consumer does), so de-duplication state can always expire.
     return parsed.withColumn("_valid", F.coalesce(ok, F.lit(False))) \
-        .withColumn("event_time", fx.parse_iso(c("timestamp")))
+        .withColumn("event_time", F.coalesce(fx.parse_iso(c("timestamp")),
+                                             F.current_timestamp()))
 
 
 def deduplicate(parsed: DataFrame, watermark: str = "1 hour") -> DataFrame:
