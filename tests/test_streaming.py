@@ -60,3 +60,19 @@ def test_message_encoding_round_trip(spark):
     rows = msgs.collect()
     assert all(len(r.transaction_id) == 36 and r.timestamp.endswith("+00:00") for r in rows)
     assert encode_messages(L).select("key").distinct().count() == 5
+
+
+def test_processing_time_trigger(spark, tmp_dir):
+    L = ledger(spark, SF_SMALL).filter("txn_id < 200")
+    W.replay_messages(L, f"{tmp_dir}/in")
+    handles = W.start_consumer(spark, W.message_source(spark, f"{tmp_dir}/in"), W.rule_scorer(),
+                               f"{tmp_dir}/alerts", f"{tmp_dir}/stats", f"{tmp_dir}/ckpt",
+                               trigger={"processingTime": "1 second"})
+    try:
+        for h in handles:
+            h.processAllAvailable()
+    finally:
+        for h in handles:
+            h.stop()
+    assert W.final_totals(spark, f"{tmp_dir}/stats").first().processed == 200
+    assert spark.read.parquet(f"{tmp_dir}/alerts").count() == al.rule_alerts(L).count()

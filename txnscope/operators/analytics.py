@@ -115,8 +115,10 @@ def types_by_fraud_rate(summary: DataFrame) -> DataFrame:
 
 # A6 ---------------------------------------------------------------------------
 def amount_by_label(df: DataFrame) -> DataFrame:
+    """Mean amount and count per label.  The mean is not a display value here,
+    so it keeps 6 places (exact, half-up) instead of money's 2."""
     return df.groupBy("isFraud").agg(
-        exact.money_avg("amount").alias("avg_amount"),
+        exact.exact_mean("amount", 2, 6).alias("avg_amount"),
         F.count(F.lit(1)).alias("count"),
     ).select(rules.fraud_label("isFraud", legit="Legit").alias("isFraud"),
              "avg_amount", "count")

@@ -153,7 +153,7 @@ def _registry() -> dict[str, tuple[Query, str | None]]:
     r["a6_amount_by_label"] = (
         lambda s, d: an.amount_by_label(_L(s, d)),
         with_ledger(f"SELECT {Q.fraud_label('isFraud', 'Legit')} AS isFraud, "
-                    f"{_ma('amount')} AS avg_amount, count(*) AS count "
+                    f"{exact.sql_exact_mean('amount', 2, 6)} AS avg_amount, count(*) AS count "
                     "FROM ledger GROUP BY ledger.isFraud"))
     bucket_case = ("CASE WHEN amount < 1000 THEN '{0}' WHEN amount < 10000 THEN '{1}' "
                    "WHEN amount < 100000 THEN '{2}' WHEN amount < 500000 THEN '{3}' "
