@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job wants regardless of cluster size.  Shuffle width is left
 # to the cluster (AQE coalesces small stages); tests narrow it explicitly.
@@ -68,3 +69,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a Parquet table under the shared checkpoint folder
+    and return a DataFrame reading it back.
+
+    Cuts the lineage like ``checkpoint()``, but computes the input once (an
+    eager reliable checkpoint runs the plan for its count and again to write
+    the files) and stores it columnar and compressed.  Task retries rewrite
+    only their own files under the writer's commit protocol."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
