@@ -70,3 +70,12 @@ def test_seeded_shuffle_is_stable(spark):
     a = [r[0] for r in an.seeded_shuffle(txns).select("txn_id").collect()]
     b = [r[0] for r in an.seeded_shuffle(txns.repartition(3)).select("txn_id").collect()]
     assert a == b and sorted(a) == list(range(1000))
+
+
+def test_first_n_by_hash_equals_ordered_limit(spark):
+    txns = ledger(spark, SF_SMALL)
+    for n in (1, 37, 999, 1000, 5000):
+        got = sorted(r[0] for r in an.first_n_by_hash(txns, n).select("txn_id").collect())
+        want = sorted(r[0] for r in txns.orderBy(F.xxhash64("txn_id", F.lit(42)), "txn_id")
+                      .limit(n).select("txn_id").collect())
+        assert got == want, n

@@ -76,3 +76,8 @@ def test_processing_time_trigger(spark, tmp_dir):
             h.stop()
     assert W.final_totals(spark, f"{tmp_dir}/stats").first().processed == 200
     assert spark.read.parquet(f"{tmp_dir}/alerts").count() == al.rule_alerts(L).count()
+
+
+def test_bounded_replay_limit(spark, tmp_dir):
+    W.replay_messages(ledger(spark, SF_SMALL), f"{tmp_dir}/in", limit=123)
+    assert spark.read.text(f"{tmp_dir}/in").count() == 123

@@ -9,7 +9,7 @@ input partition, not a skewed task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnscope.functions import exact
@@ -214,6 +214,29 @@ def sample_transactions(df: DataFrame, limit: int = 100, only_fraud: bool = Fals
     return out.limit(limit)
 
 
+def first_n_by_hash(df: DataFrame, n: int, id_col: str = "txn_id", seed: int = 42) -> DataFrame:
+    """The ``n`` rows that come first in seeded-hash order (a bounded random
+    sample), without funnelling n rows per partition into one task.
+
+    The top 16 hash bits split the rows into 65,536 ordered buckets; one
+    aggregate counts them (partial aggregation, at most 65,536 rows) and the
+    bucket holding the n-th row is found from the running counts.  Every row
+    of the earlier buckets is kept by a plain filter, and only that one bucket
+    (about 1/65,536 of the data) is ordered to pick the rest."""
+    h = F.xxhash64(c(id_col), F.lit(seed))
+    keyed = df.withColumn("_h", h).withColumn("_b", F.shiftright(h, 48))
+    counts = keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    edge = counts.withColumn("_cum", F.sum("_n").over(w)).filter(c("_cum") >= n) \
+        .orderBy("_b").select("_b", (c("_cum") - c("_n")).alias("_before")).limit(1).collect()
+    if not edge:                        # fewer than n rows: all of them
+        return df
+    b, before = edge[0]["_b"], edge[0]["_before"]
+    head = keyed.filter(c("_b") < b)
+    tail = keyed.filter(c("_b") == b).orderBy("_h", id_col).limit(n - before)
+    return head.unionByName(tail).drop("_h", "_b")
+
+
 def seeded_shuffle(df: DataFrame, id_col: str = "txn_id", seed: int = 42) -> DataFrame:
     """Row order by a keyed hash: stable across partitionings and reruns."""
     return df.orderBy(F.xxhash64(c(id_col), F.lit(seed)), id_col)

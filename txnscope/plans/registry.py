@@ -100,6 +100,8 @@ def _registry() -> dict[str, tuple[Query, str | None]]:
         with_ledger(f"SELECT {LEDGER_COLS} FROM ledger WHERE isFraud = 1 "
                     "ORDER BY txn_id LIMIT 100"))
     r["p7_seeded_shuffle"] = (lambda s, d: an.seeded_shuffle(_L(s, d)), None)
+    # W9 / P7: the bounded replay's message choice (first n in seeded-hash order).
+    r["w9_bounded_replay_choice"] = (lambda s, d: an.first_n_by_hash(_L(s, d), 1000), None)
     r["p11_nan_to_null"] = (
         lambda s, d: an.nan_to_null(_L(s, d)),
         with_ledger(f"SELECT {LEDGER_COLS} FROM ledger"))

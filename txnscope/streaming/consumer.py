@@ -207,8 +207,7 @@ def replay_messages(txns: DataFrame, out_dir: str, limit: int | None = None,
                     seed: int = 42, id_col: str = "txn_id") -> None:
     """Write transactions as JSON-lines messages in a seeded shuffled order,
     bounded to ``limit`` messages."""
+    from txnscope.operators.analytics import first_n_by_hash
     from txnscope.sources.readers import encode_messages
-    ordered = txns.withColumn("_o", F.xxhash64(c(id_col), F.lit(seed)))
-    if limit is not None:
-        ordered = ordered.orderBy("_o", id_col).limit(limit)
-    encode_messages(ordered, id_col).select("value").write.mode("append").text(out_dir)
+    chosen = txns if limit is None else first_n_by_hash(txns, limit, id_col, seed)
+    encode_messages(chosen, id_col).select("value").write.mode("append").text(out_dir)
