@@ -2,9 +2,9 @@
 
 Money has two decimal places.  Summing doubles is order dependent, so a
 result could change with the partitioning; at 100 TB that makes reruns
-disagree.  Sums are therefore taken in ``decimal`` (exact, order independent)
-and means / percentages are rounded half-up with integer arithmetic on the
-exact totals.  The results are identical on any cluster layout and in any
+disagree.  Sums are therefore taken over integral cents (exact, order
+independent) and means / percentages are rounded half-up with integer
+arithmetic on the exact totals.  The results are identical on any cluster layout and in any
 engine that follows the same definition (the SQL twins below).
 """
 
@@ -22,9 +22,24 @@ def _name(col: Column | str) -> str:
     raise TypeError("pass a column name")
 
 
+def units(x: Column, scale: int) -> Column:
+    """A value with ``scale`` decimals as an integral count of 10^-scale units.
+
+    ``rint`` of the scaled double is exact for such values (they sit within
+    float error of an integer) and, unlike a double -> decimal cast, needs no
+    BigDecimal per row.  The compact ``decimal(18,0)`` keeps the sum on the
+    fast long path while widening instead of overflowing at 100 TB totals."""
+    return F.rint(x * F.lit(float(10 ** scale))).cast("long").cast("decimal(18,0)")
+
+
+def units_sum(col: str | Column, scale: int = 2) -> Column:
+    x = F.col(col) if isinstance(col, str) else col
+    return F.sum(units(x, scale))
+
+
 def money_sum(col: str) -> Column:
     """Exact sum of a 2-decimal money column, as double."""
-    return F.sum(F.col(col).cast(MONEY)).cast("double")
+    return (units_sum(col, 2).cast("double") / F.lit(100.0))
 
 
 def exact_mean(col: str, scale_in: int = 2, places: int = 2, mult: int = 1) -> Column:
@@ -32,7 +47,7 @@ def exact_mean(col: str, scale_in: int = 2, places: int = 2, mult: int = 1) -> C
     ``scale_in`` decimals.  The sum is exact (decimal) and the rounding is an
     integral division, so no float error enters."""
     x = _name(col)
-    q = f"(sum(cast({x} AS decimal(18,{scale_in}))) * {10 ** scale_in})"
+    q = f"sum(cast(cast(rint({x} * {float(10 ** scale_in)}) AS bigint) AS decimal(18,0)))"
     n = f"count({x})"
     num = f"(abs({q}) * {2 * mult * 10 ** places} + {n} * {10 ** scale_in})"
     den = f"(2 * {n} * {10 ** scale_in})"
@@ -64,12 +79,16 @@ def pct(num: Column, den: Column, places: int) -> Column:
 
 
 # --- SQL twins (DuckDB dialect) -------------------------------------------
+def sql_units(x: str, scale: int) -> str:
+    return f"CAST(round({x} * {float(10 ** scale)}) AS BIGINT)"
+
+
 def sql_money_sum(x: str) -> str:
-    return f"CAST(sum(CAST({x} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"(CAST(sum({sql_units(x, 2)}) AS DOUBLE) / 100.0)"
 
 
 def sql_exact_mean(x: str, scale_in: int = 2, places: int = 2, mult: int = 1) -> str:
-    q = f"CAST(sum(CAST({x} AS DECIMAL(18,{scale_in}))) * {10 ** scale_in} AS HUGEINT)"
+    q = f"CAST(sum({sql_units(x, scale_in)}) AS HUGEINT)"
     n = f"count({x})"
     num = f"(abs({q}) * {2 * mult * 10 ** places} + {n} * {10 ** scale_in})"
     den = f"(2 * {n} * {10 ** scale_in})"

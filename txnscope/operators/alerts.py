@@ -46,19 +46,18 @@ def rule_stats(txns: DataFrame, threshold: float = 0.5,
     """
     conf = rules.rule_confidence()
     rows = txns.select(F.window("ts", interval).end.alias("recorded_at"),
-                       (conf >= threshold).alias("hit"),
-                       F.round(conf, 4).cast("decimal(18,4)").alias("conf"))
+                       (conf >= threshold).alias("hit"), F.round(conf, 4).alias("conf"))
     per = rows.groupBy("recorded_at").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(c("hit")).alias("f"),
-        F.coalesce(F.sum(F.when(c("hit"), c("conf"))), F.lit(0).cast("decimal(18,4)"))
-        .alias("cs"))
+        F.coalesce(exact.units_sum(F.when(c("hit"), c("conf")), 4),
+                   F.lit(0).cast("decimal(28,0)")).alias("cs"))
     w = Window.orderBy("recorded_at").rowsBetween(Window.unboundedPreceding, 0)
     run = per.select("recorded_at", F.sum("n").over(w).alias("processed"),
                      F.sum("f").over(w).alias("fraud_count"),
                      F.sum("cs").over(w).alias("conf_sum"))
-    # avg confidence (x100, 4 places) half-up from the exact 4-decimal sum.
-    q = (c("conf_sum") * 10000).cast("decimal(38,0)")
+    # avg confidence (x100, 4 places) half-up from the exact sum of 1e-4 units.
+    q = c("conf_sum").cast("decimal(38,0)")
     num = q * F.lit(2 * 100 * 10000) + c("fraud_count").cast("decimal(38,0)") * 10000
     den = c("fraud_count").cast("decimal(38,0)") * 2 * 10000
     avg_conf = F.when(c("fraud_count") == 0, F.lit(0.0)).otherwise(

@@ -154,8 +154,9 @@ def kpis(df: DataFrame) -> DataFrame:
     agg = df.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(c("isFraud") == 1).alias("fraud"),
-        F.coalesce(F.sum(F.when(c("isFraud") == 1, c("amount").cast(exact.MONEY))),
-                   F.lit(0).cast(exact.MONEY)).cast("double").alias("fraud_amount_lost"),
+        (F.coalesce(exact.units_sum(F.when(c("isFraud") == 1, c("amount")), 2),
+                    F.lit(0).cast("decimal(28,0)")).cast("double") / F.lit(100.0))
+        .alias("fraud_amount_lost"),
     )
     return agg.select("total", "fraud", (c("total") - c("fraud")).alias("legit"),
                       "fraud_amount_lost",

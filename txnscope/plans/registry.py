@@ -174,8 +174,8 @@ def _registry() -> dict[str, tuple[Query, str | None]]:
             "SELECT total, fraud, total - fraud AS legit, fraud_amount_lost, "
             f"{_pct('fraud', 'total', 4)} AS fraud_rate FROM ("
             "SELECT count(*) AS total, count(*) FILTER (WHERE isFraud = 1) AS fraud, "
-            "CAST(coalesce(sum(CAST(amount AS DECIMAL(18,2))) FILTER (WHERE isFraud = 1), 0) "
-            "AS DOUBLE) AS fraud_amount_lost FROM ledger) k"))
+            "CAST(coalesce(sum(CAST(round(amount * 100.0) AS BIGINT)) FILTER (WHERE isFraud = 1), "
+            "0) AS DOUBLE) / 100.0 AS fraud_amount_lost FROM ledger) k"))
     r["a15_class_balance"] = (
         lambda s, d: an.class_balance(_L(s, d)),
         with_ledger("SELECT isFraud, count(*) AS count FROM ledger GROUP BY isFraud "

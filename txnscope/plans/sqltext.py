@@ -72,7 +72,7 @@ SELECT CAST(processed AS BIGINT) AS processed, CAST(fraud_count AS BIGINT) AS fr
   (CASE WHEN processed = 0 THEN 0.0 ELSE CAST((CAST(fraud_count AS HUGEINT) * 2000000 + processed)
      // (2 * CAST(processed AS HUGEINT)) AS DOUBLE) / 10000.0 END) AS fraud_rate,
   (CASE WHEN fraud_count = 0 THEN 0.0 ELSE
-     CAST((CAST(conf_sum * 10000 AS HUGEINT) * 2000000 + CAST(fraud_count AS HUGEINT) * 10000)
+     CAST((CAST(conf_sum AS HUGEINT) * 2000000 + CAST(fraud_count AS HUGEINT) * 10000)
           // (CAST(fraud_count AS HUGEINT) * 2 * 10000) AS DOUBLE) / 10000.0 END) AS avg_confidence,
   recorded_at
 FROM (
@@ -83,7 +83,7 @@ FROM (
   FROM (
     SELECT time_bucket({iv}, ts) + {iv} AS recorded_at, count(*) AS n,
       count(*) FILTER (WHERE p >= 0.5) AS f,
-      coalesce(sum(CAST(round(p, 4) AS DECIMAL(18,4))) FILTER (WHERE p >= 0.5), 0) AS cs
+      coalesce(sum(CAST(round(round(p, 4) * 10000.0) AS BIGINT)) FILTER (WHERE p >= 0.5), 0) AS cs
     FROM (SELECT ts, {RULE_CONFIDENCE} AS p FROM ledger) s
     GROUP BY 1
   ) per

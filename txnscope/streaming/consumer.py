@@ -105,17 +105,18 @@ def alert_rows(scored: DataFrame, saved_at: Column | None = None) -> DataFrame:
 # W4 ---------------------------------------------------------------------------
 def running_totals(scored: DataFrame) -> DataFrame:
     """Global running totals (complete mode): processed, frauds, exact sum of
-    the 4-place confidences of frauds."""
+    the 4-place confidences of frauds (in 1e-4 units)."""
     return scored.agg(
         F.count(F.lit(1)).alias("processed"),
         F.count_if(c("prediction") == 1).alias("fraud_count"),
-        F.coalesce(F.sum(F.when(c("prediction") == 1, c("confidence").cast("decimal(18,4)"))),
-                   F.lit(0).cast("decimal(18,4)")).alias("conf_sum"))
+        F.coalesce(exact.units_sum(F.when(c("prediction") == 1, c("confidence")), 4),
+                   F.lit(0).cast("decimal(28,0)")).alias("conf_sum"))
 
 
 def snapshot(totals: DataFrame, recorded_at: Column | None = None) -> DataFrame:
-    """Stats row: fraud rate (%, 4 places) and mean fraud confidence (%, 4 places)."""
-    q = (c("conf_sum") * 10000).cast("decimal(38,0)")
+    """Stats row: fraud rate (%, 4 places) and mean fraud confidence (%, 4 places);
+    ``conf_sum`` counts 1e-4 confidence units."""
+    q = c("conf_sum").cast("decimal(38,0)")
     f = c("fraud_count").cast("decimal(38,0)")
     num = q * F.lit(2 * 100 * 10000) + f * 10000
     den = f * 2 * 10000
