@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
 
 
 def _name(col: Column | str) -> str:
