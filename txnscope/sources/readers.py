@@ -6,8 +6,7 @@ re-runs its tasks and the commit protocol keeps half-written files invisible.
 
 from __future__ import annotations
 
-import os
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,11 +54,11 @@ def has_rows(spark: SparkSession, name_or_path: str) -> bool:
     """True when the table (catalog name or Parquet path) exists and is not
     empty; ``isEmpty`` reads at most one row."""
     if "/" in name_or_path:
-        if not os.path.exists(name_or_path) and not name_or_path.startswith(("hdfs:", "s3", "gs:", "abfs")):
-            return False
+        # Ask Spark, not the driver's local disk: on a cluster the path lives
+        # on the default file system (HDFS, object store).
         try:
             return not spark.read.parquet(name_or_path).isEmpty()
-        except Exception:  # noqa: BLE001 - absent or unreadable table counts as empty
+        except AnalysisException:       # path does not exist (or holds no table)
             return False
     return spark.catalog.tableExists(name_or_path) and not spark.table(name_or_path).isEmpty()
 
