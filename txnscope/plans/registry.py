@@ -377,12 +377,16 @@ def _registry() -> dict[str, tuple[Query, str | None]]:
             "SELECT 'inf'::DOUBLE AS threshold, 0.0 AS fpr, 0.0 AS tpr UNION ALL "
             "SELECT score AS threshold, CASE WHEN tn > 0 THEN cum_neg / CAST(tn AS DOUBLE) "
             "ELSE 0.0 END AS fpr, CASE WHEN tp > 0 THEN cum_pos / CAST(tp AS DOUBLE) ELSE 0.0 END "
-            "AS tpr FROM (SELECT score, "
+            "AS tpr FROM (SELECT score, pos, neg, "
             "sum(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cum_pos, "
             "sum(neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cum_neg, "
+            "row_number() OVER (ORDER BY score DESC) AS rn, "
+            "lead(pos) OVER (ORDER BY score DESC) AS next_pos, "
+            "lead(neg) OVER (ORDER BY score DESC) AS next_neg, "
             "sum(pos) OVER () AS tp, sum(neg) OVER () AS tn FROM ("
             "SELECT score, count(*) FILTER (WHERE label = 1) AS pos, "
-            "count(*) FILTER (WHERE label <> 1) AS neg FROM scored GROUP BY score) g) w")))
+            "count(*) FILTER (WHERE label <> 1) AS neg FROM scored GROUP BY score) g) w "
+            "WHERE next_pos IS NULL OR rn = 1 OR next_pos <> pos OR next_neg <> neg")))
     r["m11_average_precision"] = (
         lambda s, d: me.average_precision(_scored(s, d)),
         _with(SCORED_CTE, body=(
