@@ -21,19 +21,32 @@ def _name(col: Column | str) -> str:
     raise TypeError("pass a column name")
 
 
+SPLIT = 20            # cents = hi * 2^20 + lo, 0 <= lo < 2^20
+
+
 def units(x: Column, scale: int) -> Column:
     """A value with ``scale`` decimals as an integral count of 10^-scale units.
 
     ``rint`` of the scaled double is exact for such values (they sit within
     float error of an integer) and, unlike a double -> decimal cast, needs no
-    BigDecimal per row.  The compact ``decimal(18,0)`` keeps the sum on the
-    fast long path while widening instead of overflowing at 100 TB totals."""
-    return F.rint(x * F.lit(float(10 ** scale))).cast("long").cast("decimal(18,0)")
+    BigDecimal per row."""
+    return F.rint(x * F.lit(float(10 ** scale))).cast("long")
 
 
 def units_sum(col: str | Column, scale: int = 2) -> Column:
+    """Exact sum of ``units`` as decimal(38,0).
+
+    The units are split into a high and a low part and each is summed as a
+    long: the fast, overflow-checked long path per row (a decimal sum builds a
+    Decimal per row).  Neither part can overflow below 2^43 (8.8e12) rows per
+    group with values under 2^40 units (1.1e10 in money), far beyond 100 TB;
+    past that, ANSI arithmetic raises instead of wrapping.  The parts are
+    combined once per group."""
     x = F.col(col) if isinstance(col, str) else col
-    return F.sum(units(x, scale))
+    u = units(x, scale)
+    hi = F.sum(F.shiftright(u, SPLIT))
+    lo = F.sum(u.bitwiseAND(F.lit((1 << SPLIT) - 1)))
+    return hi.cast("decimal(38,0)") * F.lit(1 << SPLIT) + lo.cast("decimal(38,0)")
 
 
 def money_sum(col: str) -> Column:
@@ -46,7 +59,9 @@ def exact_mean(col: str, scale_in: int = 2, places: int = 2, mult: int = 1) -> C
     ``scale_in`` decimals.  The sum is exact (decimal) and the rounding is an
     integral division, so no float error enters."""
     x = _name(col)
-    q = f"sum(cast(cast(rint({x} * {float(10 ** scale_in)}) AS bigint) AS decimal(18,0)))"
+    u = f"cast(rint({x} * {float(10 ** scale_in)}) AS bigint)"
+    q = (f"(cast(sum(shiftright({u}, {SPLIT})) AS decimal(38,0)) * {1 << SPLIT} "
+         f"+ cast(sum({u} & {(1 << SPLIT) - 1}) AS decimal(38,0)))")
     n = f"count({x})"
     num = f"(abs({q}) * {2 * mult * 10 ** places} + {n} * {10 ** scale_in})"
     den = f"(2 * {n} * {10 ** scale_in})"
