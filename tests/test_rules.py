@@ -129,3 +129,15 @@ def test_timestamp_format(spark):
 def test_constants():
     assert len(MODEL_FEATURES) == 11 and len(HELPER_FEATURES) == 11
     assert TARGET == "isFraud"
+
+
+def test_ledger_step_same_in_any_session_zone(spark):
+    from tests.conftest import SF_SMALL
+    from txnscope.sources.ledger import ledger
+    utc = sorted(tuple(r) for r in ledger(spark, SF_SMALL).select("txn_id", "step").collect())
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        other = sorted(tuple(r) for r in ledger(spark, SF_SMALL).select("txn_id", "step").collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert utc == other

@@ -25,14 +25,23 @@ EPOCH_SECONDS = 1704067200
 US_PER_HOUR = 3_600_000_000
 
 
-def _step(ts: Column) -> Column:
-    # Whole hours since the epoch, plus one; independent of session time zone.
-    us = F.timestamp_diff("MICROSECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"),
-                          ts.cast("timestamp_ntz"))
+def _step(ts: Column, utc_session: bool) -> Column:
+    """Whole hours since the epoch, plus one, of a wall-clock (NTZ) time.
+
+    In a UTC session the wall clock read as a UTC instant gives the micros
+    directly; any other session time zone takes the zone-independent
+    ``timestampdiff`` (slower: it converts through local date-times)."""
+    if utc_session:
+        us = F.unix_micros(ts.cast("timestamp_ntz").cast("timestamp")) \
+            - F.lit(EPOCH_SECONDS * 1_000_000)
+    else:
+        us = F.timestamp_diff("MICROSECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"),
+                              ts.cast("timestamp_ntz"))
     return (F.floor(us / F.lit(US_PER_HOUR)) + 1).cast("int")
 
 
 def ledger_from_events(events: DataFrame) -> DataFrame:
+    utc = events.sparkSession.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC", "Z")
     eid = F.col("event_id")
     kind = F.col("event_type")
     tx_type = F.coalesce(
@@ -54,7 +63,7 @@ def ledger_from_events(events: DataFrame) -> DataFrame:
     return events.select(
         eid.alias("txn_id"),
         F.col("ts").cast("timestamp").alias("ts"),
-        _step(F.col("ts")).alias("step"),
+        _step(F.col("ts"), utc).alias("step"),
         tx_type.alias("type"),
         amount.alias("amount"),
         F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("nameOrig"),
