@@ -81,3 +81,16 @@ def test_processing_time_trigger(spark, tmp_dir):
 def test_bounded_replay_limit(spark, tmp_dir):
     W.replay_messages(ledger(spark, SF_SMALL), f"{tmp_dir}/in", limit=123)
     assert spark.read.text(f"{tmp_dir}/in").count() == 123
+
+
+def test_windowed_alert_counts_as_a_stream(spark, tmp_dir):
+    from txnscope.schema import ALERT_SCHEMA
+    L = ledger(spark, SF_SMALL)
+    W.replay_messages(L, f"{tmp_dir}/in")
+    _run(spark, tmp_dir)
+    alerts = spark.readStream.schema(ALERT_SCHEMA).parquet(f"{tmp_dir}/alerts")
+    q = (W.windowed_alert_counts(alerts).writeStream.outputMode("complete").format("memory")
+         .queryName("alert_windows").trigger(availableNow=True).start())
+    q.awaitTermination()
+    total = spark.sql("SELECT sum(alerts) FROM alert_windows").first()[0]
+    assert total == al.rule_alerts(L).count()

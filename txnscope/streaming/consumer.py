@@ -204,11 +204,17 @@ def final_totals(spark: SparkSession, stats_path: str) -> DataFrame:
 
 
 # K6 / P7 / W9: the replay side ---------------------------------------------------------
-def replay_messages(txns: DataFrame, out_dir: str, limit: int | None = None,
-                    seed: int = 42, id_col: str = "txn_id") -> None:
-    """Write transactions as JSON-lines messages in a seeded shuffled order,
-    bounded to ``limit`` messages."""
+def replay_messages(txns: DataFrame, out_dir: str | None, limit: int | None = None,
+                    seed: int = 42, id_col: str = "txn_id", kafka: dict | None = None) -> None:
+    """Write transactions as messages, bounded to the first ``limit`` in
+    seeded-hash order: JSON lines under ``out_dir``, or (key, value) records
+    to a Kafka topic when ``kafka`` options (``kafka.bootstrap.servers``,
+    ``topic``) are given."""
     from txnscope.operators.analytics import first_n_by_hash
     from txnscope.sources.readers import encode_messages
     chosen = txns if limit is None else first_n_by_hash(txns, limit, id_col, seed)
-    encode_messages(chosen, id_col).select("value").write.mode("append").text(out_dir)
+    messages = encode_messages(chosen, id_col)
+    if kafka:
+        messages.write.format("kafka").options(**kafka).save()
+    else:
+        messages.select("value").write.mode("append").text(out_dir)
