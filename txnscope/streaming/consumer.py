@@ -68,10 +68,18 @@ def deduplicate(parsed: DataFrame, watermark: str = "1 hour") -> DataFrame:
 
 # W2 ---------------------------------------------------------------------------
 def model_scorer(model) -> Scorer:
+    """Score with a fitted pipeline; a linear one runs as compiled expressions."""
     from pyspark.ml.functions import vector_to_array
 
+    from txnscope.learning.models import compiled_linear
+    linear = compiled_linear(model)
+
     def score(df: DataFrame) -> DataFrame:
-        out = model.transform(fx.model_features(df))
+        feats = fx.model_features(df)
+        if linear is not None:
+            keep, prob, pred = linear
+            return feats.filter(keep).withColumn("p", prob).withColumn("prediction", pred)
+        out = model.transform(feats)
         return out.withColumn("p", vector_to_array("probability")[1]) \
             .withColumn("prediction", c("prediction").cast("int"))
     return score
