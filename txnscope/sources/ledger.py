@@ -41,39 +41,42 @@ def _step(ts: Column, utc_session: bool) -> Column:
 
 
 def ledger_from_events(events: DataFrame) -> DataFrame:
+    """Three narrow projections (base values, opening balances, the rest) so
+    each expression is evaluated once and referenced by name, instead of one
+    projection whose later columns repeat the earlier expressions inline."""
     utc = events.sparkSession.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC", "Z")
     eid = F.col("event_id")
     kind = F.col("event_type")
     tx_type = F.coalesce(
         *[F.when(kind == k, F.lit(v)) for k, v in EVENT_TYPE_MAP.items()],
         F.lit("UNKNOWN"))
-    # round(value * 2000, 2), written with rint: the same doubles (value * 2000
-    # has at most two decimals) without a BigDecimal per row.
-    amount = F.rint(F.col("value") * 200000) / 100
-    old_orig = (F.when(eid % 5 == 0, F.lit(0.0))
-                .when(eid % 5 == 1, amount)
-                .otherwise(amount + ((eid * 37) % 1000 * 100).cast("double")))
-    new_orig = F.when(tx_type == "CASH_IN", old_orig + amount) \
-        .otherwise(F.greatest(old_orig - amount, F.lit(0.0)))
-    old_dest = ((eid * 53) % 1000 * 100).cast("double")
-    new_dest = F.when(eid % 7 == 0, old_dest).otherwise(old_dest + amount)
-    is_fraud = (tx_type.isin("CASH_OUT", "TRANSFER")
-                & (((eid % 5 == 1) & (eid % 3 == 0)) | (eid % 41 == 0))).cast("int")
-    flagged = ((tx_type == "TRANSFER") & (amount > 200000)).cast("int")
-    return events.select(
+    base = events.select(
+        eid, "ts", "user_id", tx_type.alias("type"),
+        # round(value * 2000, 2), written with rint: the same doubles (value *
+        # 2000 has at most two decimals) without a BigDecimal per row.
+        (F.rint(F.col("value") * 200000) / 100).alias("amount"))
+    amount = F.col("amount")
+    opening = base.select(
+        "*",
+        F.when(eid % 5 == 0, F.lit(0.0)).when(eid % 5 == 1, amount)
+        .otherwise(amount + ((eid * 37) % 1000 * 100).cast("double")).alias("oldbalanceOrg"),
+        ((eid * 53) % 1000 * 100).cast("double").alias("oldbalanceDest"))
+    old_orig, old_dest, tx = F.col("oldbalanceOrg"), F.col("oldbalanceDest"), F.col("type")
+    return opening.select(
         eid.alias("txn_id"),
         F.col("ts").cast("timestamp").alias("ts"),
         _step(F.col("ts"), utc).alias("step"),
-        tx_type.alias("type"),
-        amount.alias("amount"),
+        "type", "amount",
         F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("nameOrig"),
-        old_orig.alias("oldbalanceOrg"),
-        new_orig.alias("newbalanceOrig"),
+        "oldbalanceOrg",
+        F.when(tx == "CASH_IN", old_orig + amount)
+        .otherwise(F.greatest(old_orig - amount, F.lit(0.0))).alias("newbalanceOrig"),
         F.concat(F.lit("M"), ((eid * 7919) % 97).cast("string")).alias("nameDest"),
-        old_dest.alias("oldbalanceDest"),
-        new_dest.alias("newbalanceDest"),
-        is_fraud.alias("isFraud"),
-        flagged.alias("isFlaggedFraud"),
+        "oldbalanceDest",
+        F.when(eid % 7 == 0, old_dest).otherwise(old_dest + amount).alias("newbalanceDest"),
+        (tx.isin("CASH_OUT", "TRANSFER")
+         & (((eid % 5 == 1) & (eid % 3 == 0)) | (eid % 41 == 0))).cast("int").alias("isFraud"),
+        ((tx == "TRANSFER") & (amount > 200000)).cast("int").alias("isFlaggedFraud"),
     )
 
 
