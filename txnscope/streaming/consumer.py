@@ -71,7 +71,8 @@ def model_scorer(model) -> Scorer:
     """Score with a fitted pipeline; a linear one runs as compiled expressions."""
     from pyspark.ml.functions import vector_to_array
 
-    from txnscope.learning.models import compiled_linear
+    from txnscope.learning.models import check_model_size, compiled_linear
+    check_model_size(model)
     linear = compiled_linear(model)
 
     def score(df: DataFrame) -> DataFrame:
