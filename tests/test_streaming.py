@@ -94,3 +94,19 @@ def test_windowed_alert_counts_as_a_stream(spark, tmp_dir):
     q.awaitTermination()
     total = spark.sql("SELECT sum(alerts) FROM alert_windows").first()[0]
     assert total == al.rule_alerts(L).count()
+
+
+def test_late_transactions_are_kept(spark, tmp_dir):
+    """A transaction whose own timestamp is days older than what the stream
+    has already seen is still scored and counted (nothing is dropped as late)."""
+    L = ledger(spark, SF_SMALL)
+    newest = L.filter("txn_id >= 900")
+    oldest = L.filter("txn_id < 100")
+    W.replay_messages(newest, f"{tmp_dir}/in")
+    _run(spark, tmp_dir)
+    W.replay_messages(oldest, f"{tmp_dir}/in")
+    _run(spark, tmp_dir)
+    last = W.final_totals(spark, f"{tmp_dir}/stats").first()
+    assert last.processed == 200
+    want = al.rule_alerts(newest.unionByName(oldest)).count()
+    assert spark.read.parquet(f"{tmp_dir}/alerts").count() == want

@@ -61,8 +61,16 @@ def parse_messages(raw: DataFrame) -> DataFrame:
 
 
 def deduplicate(parsed: DataFrame, watermark: str = "1 hour") -> DataFrame:
-    """W6: drop replays of a transaction id seen within the watermark."""
-    return parsed.withWatermark("event_time", watermark) \
+    """W6: drop replays of a transaction id that arrive within ``watermark`` of
+    its first arrival.
+
+    The watermark runs on arrival (processing) time, not on the message's own
+    timestamp: a stateful operator drops input older than its watermark, so an
+    event-time watermark would silently lose transactions that arrive late.
+    Every new id is kept however old its timestamp; state holds the ids of
+    the last ``watermark`` of arrivals."""
+    return parsed.withColumn("arrived_at", F.current_timestamp()) \
+        .withWatermark("arrived_at", watermark) \
         .dropDuplicatesWithinWatermark(["transaction_id"])
 
 
