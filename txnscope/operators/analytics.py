@@ -88,7 +88,8 @@ def hourly_pattern(df: DataFrame, quantile: float = 0.90, exact_threshold: bool
     if exact_threshold:
         threshold = hourly.agg(F.percentile(c("fraud_rate"), F.lit(quantile))).scalar()
     else:
-        threshold = F.lit(hourly.approxQuantile("fraud_rate", [quantile], rel_error)[0])
+        q = hourly.approxQuantile("fraud_rate", [quantile], rel_error)
+        threshold = F.lit(q[0] if q else None).cast("double")
     return hourly.withColumn("is_peak_fraud_hour",
                              F.coalesce(c("fraud_rate") >= threshold, F.lit(False))) \
         .orderBy("step")
