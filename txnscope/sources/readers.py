@@ -7,7 +7,7 @@ re-runs its tasks and the commit protocol keeps half-written files invisible.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,21 +78,28 @@ def write_table(df: DataFrame, target: str, mode: str = "overwrite",
 
 
 # K3 / K4 ----------------------------------------------------------------------
-def split_valid(spark: SparkSession, csv_path: str, staging: str) -> tuple[DataFrame, DataFrame]:
+def split_valid(spark: SparkSession, csv_path: str,
+                staging: str) -> tuple[DataFrame, DataFrame, dict]:
     """Read the CSV once in PERMISSIVE mode, write it partitioned by a reject
-    flag, and return (accepted, rejected) views of that staging table.
+    flag, and return (accepted, rejected, counts) over that staging table.
 
     One pass over the input; good rows survive bad ones (the bulk-insert
-    "keep going" behaviour), and rejects keep their raw text."""
+    "keep going" behaviour), rejects keep their raw text, and the counts are
+    observed during the same write (one merge per successful task)."""
     schema = T.StructType(TXN_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType())])
     raw = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", CORRUPT).csv(csv_path))
-    flagged = raw.withColumn("_rejected", F.col(CORRUPT).isNotNull().cast("int"))
+    bad = F.col(CORRUPT).isNotNull()
+    obs = Observation("load")
+    flagged = raw.withColumn("_rejected", bad.cast("int")).observe(
+        obs, F.count_if(~bad).alias("accepted"),
+        F.count_if(~bad & (F.col("isFraud") == 1)).alias("fraud"),
+        F.count_if(bad).alias("rejected"))
     write_table(flagged, staging, partition_by=["_rejected"])
     staged = spark.read.parquet(staging)
     accepted = staged.filter(F.col("_rejected") == 0).drop(CORRUPT, "_rejected")
     rejected = staged.filter(F.col("_rejected") == 1).select(CORRUPT)
-    return accepted, rejected
+    return accepted, rejected, dict(obs.get)
 
 
 def load_transactions(spark: SparkSession, csv_path: str, transactions: str, fraud_cases: str,
@@ -103,17 +110,17 @@ def load_transactions(spark: SparkSession, csv_path: str, transactions: str, fra
     have_txn, have_fraud = has_rows(spark, transactions), has_rows(spark, fraud_cases)
     if have_txn and have_fraud:
         return {"skipped": True, "transactions": 0, "fraud_cases": 0, "rejected": 0}
-    accepted, rejected = split_valid(spark, csv_path, staging)
-    out = {"skipped": False, "transactions": 0, "fraud_cases": 0, "rejected": 0}
+    accepted, rejected, counts = split_valid(spark, csv_path, staging)
+    out = {"skipped": False, "transactions": 0, "fraud_cases": 0,
+           "rejected": int(counts["rejected"])}
     if not have_txn:
         write_table(accepted, transactions, mode="append")
-        out["transactions"] = accepted.count()
+        out["transactions"] = int(counts["accepted"])
     if not have_fraud:
         write_table(accepted.filter(F.col("isFraud") == 1), fraud_cases, mode="append")
-        out["fraud_cases"] = accepted.filter(F.col("isFraud") == 1).count()
+        out["fraud_cases"] = int(counts["fraud"])
     if quarantine:
         write_table(rejected, quarantine, mode="append")
-    out["rejected"] = rejected.count()
     return out
 
 
