@@ -216,27 +216,38 @@ def sample_transactions(df: DataFrame, limit: int = 100, only_fraud: bool = Fals
     return out.limit(limit)
 
 
-def first_n_by_hash(df: DataFrame, n: int, id_col: str = "txn_id", seed: int = 42) -> DataFrame:
-    """The ``n`` rows that come first in seeded-hash order (a bounded random
-    sample), without funnelling n rows per partition into one task.
+def hash_cut(df: DataFrame, n: int, id_col: str = "txn_id", seed: int = 42) -> Column:
+    """A predicate that holds for exactly the first ``n`` rows of ``df`` in
+    (xxhash64(id, seed), id) order -- a plain filter, no join, no global sort.
 
     The top 16 hash bits split the rows into 65,536 ordered buckets; one
     aggregate counts them (partial aggregation, at most 65,536 rows) and the
-    bucket holding the n-th row is found from the running counts.  Every row
-    of the earlier buckets is kept by a plain filter, and only that one bucket
-    (about 1/65,536 of the data) is ordered to pick the rest."""
+    bucket holding the n-th row is found from the running counts.  Only that
+    bucket (about 1/65,536 of the data) is ordered, to find the (hash, id) of
+    the n-th row; the predicate is "bucket below the cut, or the cut bucket up
+    to that row"."""
     h = F.xxhash64(c(id_col), F.lit(seed))
-    keyed = df.withColumn("_h", h).withColumn("_b", F.shiftright(h, 48))
+    b = F.shiftright(h, 48)
+    if n <= 0:
+        return F.lit(False)
+    keyed = df.select(c(id_col).alias("_id"), h.alias("_h"), b.alias("_b"))
     counts = keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     edge = counts.withColumn("_cum", F.sum("_n").over(w)).filter(c("_cum") >= n) \
         .orderBy("_b").select("_b", (c("_cum") - c("_n")).alias("_before")).limit(1).collect()
-    if not edge:                        # fewer than n rows: all of them
-        return df
-    b, before = edge[0]["_b"], edge[0]["_before"]
-    head = keyed.filter(c("_b") < b)
-    tail = keyed.filter(c("_b") == b).orderBy("_h", id_col).limit(n - before)
-    return head.unionByName(tail).drop("_h", "_b")
+    if not edge:                        # n or fewer rows: all of them
+        return F.lit(True)
+    cut, before = edge[0]["_b"], edge[0]["_before"]
+    last = keyed.filter(c("_b") == cut).orderBy("_h", "_id").limit(n - before) \
+        .agg(F.max(F.struct("_h", "_id")).alias("m")).first()["m"]
+    h_star, id_star = last["_h"], last["_id"]
+    return (b < cut) | ((b == cut) & ((h < h_star) | ((h == h_star) & (c(id_col) <= id_star))))
+
+
+def first_n_by_hash(df: DataFrame, n: int, id_col: str = "txn_id", seed: int = 42) -> DataFrame:
+    """The ``n`` rows that come first in seeded-hash order (a bounded random
+    sample), without funnelling n rows per partition into one task."""
+    return df.filter(hash_cut(df, n, id_col, seed))
 
 
 def seeded_shuffle(df: DataFrame, id_col: str = "txn_id", seed: int = 42) -> DataFrame:

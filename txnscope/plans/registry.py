@@ -416,13 +416,14 @@ def _add_learning(r: dict) -> None:
     from pyspark.ml.functions import vector_to_array
 
     from txnscope.learning import models as M
-    from txnscope.learning.split import test_side
-
-    r["m1_split_sides"] = (
-        lambda s, d: _L(s, d).select(
-            "txn_id", "isFraud",
-            F.when(test_side("txn_id", label="isFraud"), "test").otherwise("train").alias("side")),
-        None)
+    from txnscope.learning.split import test_predicate
+
+    def split_sides(s, d):
+        L = _L(s, d)
+        side = F.coalesce(test_predicate(L), F.lit(False))
+        return L.select("txn_id", "isFraud",
+                        F.when(side, "test").otherwise("train").alias("side"))
+    r["m1_split_sides"] = (split_sides, None)
     r["m2_smote_training_set"] = (lambda s, d: _resampled(s, d)[0], None)
 
     def scaled(s, d):
