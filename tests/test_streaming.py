@@ -110,3 +110,25 @@ def test_late_transactions_are_kept(spark, tmp_dir):
     assert last.processed == 200
     want = al.rule_alerts(newest.unionByName(oldest)).count()
     assert spark.read.parquet(f"{tmp_dir}/alerts").count() == want
+
+
+def test_stop_mid_stream_and_restart_is_exactly_once(spark, tmp_dir):
+    import time as _time
+    L = ledger(spark, SF_SMALL)
+    for lo in range(0, 1000, 250):                      # four input files
+        W.replay_messages(L.filter(f"txn_id >= {lo} AND txn_id < {lo + 250}"), f"{tmp_dir}/in")
+    src = lambda: W.message_source(spark, f"{tmp_dir}/in", max_files=1)
+    handles = W.start_consumer(spark, src(), W.rule_scorer(), f"{tmp_dir}/alerts",
+                               f"{tmp_dir}/stats", f"{tmp_dir}/ckpt",
+                               trigger={"processingTime": "100 milliseconds"})
+    deadline = _time.time() + 120
+    while handles[0].lastProgress is None and _time.time() < deadline:
+        _time.sleep(0.2)
+    for h in handles:                                   # stop wherever the batches are
+        h.stop()
+    W.run_bounded(spark, src(), W.rule_scorer(), f"{tmp_dir}/alerts", f"{tmp_dir}/stats",
+                  f"{tmp_dir}/ckpt")
+    assert W.final_totals(spark, f"{tmp_dir}/stats").first().processed == 1000
+    alerts = spark.read.parquet(f"{tmp_dir}/alerts")
+    assert alerts.count() == al.rule_alerts(L).count()
+    assert alerts.select("transaction_id").distinct().count() == alerts.count()
