@@ -7,8 +7,8 @@ line is counted, so exact copies count once.  A line found in more than
 removed.  A document is depleted, and rejected, when boilerplate was removed
 and fewer than ``min_words`` words or less than ``min_left`` of its words stay.
 
-Work per row is local; only (host, text hash, line hash, words) rows, narrow
-per-text sums and verdicts are shuffled, never texts.  All keys contain a
+Only (host, text hash, line hash) rows and partial counts are shuffled, never
+texts, as long as the list of frequent lines is small.  All keys contain a
 hash, so a hot host is spread over all tasks.
 
 Edge cases: null text is empty (base rules fail); null host is a host of its
@@ -83,53 +83,52 @@ def _host(col: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(col).cast("string")), F.lit("null"))
 
 
-def line_rows(docs: DataFrame, text: str, host: str) -> DataFrame:
-    """One row for each distinct line with a word of each distinct (host, text): host, text_hash, line_hash, words."""
-    t = text_of(text)
-    rows = docs.select(_host(host).alias("host"), F.xxhash64(t).alias("text_hash"),
-                       F.explode(F.filter(normal_lines(t), lambda x: x != "")).alias("line"))
-    rows = rows.select("host", "text_hash", F.xxhash64("line").alias("line_hash"),
-                       F.size(F.filter(F.split("line", " "), lambda w: w != "")).cast("bigint").alias("w"))
-    # Rows of one document lie together, so equal copies meet only as maxima of equal sums.
-    per_line = rows.groupBy("host", "text_hash", "line_hash").agg(F.max("w").alias("words"))
-    return per_line
-
-
-def frequent_lines(lines: DataFrame, min_texts: int, share: float) -> DataFrame:
+def frequent_lines(docs: DataFrame, text: str, host: str, min_texts: int, share: float) -> DataFrame:
     """(host, line_hash) of the lines above their host's limit."""
-    per_host = lines.groupBy("host", "text_hash").agg(F.lit(1).alias("one")).groupBy("host") \
-        .agg(F.count("*").alias("n_texts"))
+    t = text_of(text)
+    keyed = docs.select(_host(host).alias("host"), F.xxhash64(t).alias("text_hash"), t.alias("t"))
+    per_host = keyed.select("host", "text_hash").distinct().groupBy("host").agg(F.count("*").alias("n_texts"))
+    lines = keyed.select("host", "text_hash", F.explode(F.array_distinct(F.transform(
+        F.filter(normal_lines(F.col("t")), lambda x: x != ""), lambda x: F.xxhash64(x)))).alias("line_hash"))
+    counts = lines.distinct().groupBy("host", "line_hash").agg(F.count("*").alias("n")).where(F.col("n") > min_texts)
     limit = F.greatest(F.lit(min_texts).cast("double"), F.lit(share) * F.col("n_texts"))
-    counts = lines.groupBy("host", "line_hash").agg(F.count("*").alias("n")).where(F.col("n") > min_texts)
     return counts.join(per_host, "host").where(F.col("n") > limit).select("host", "line_hash")
 
 
-def removed_lines(docs: DataFrame, text: str = "text", host: str = "source", min_texts: int = 10,
-                  share: float = 0.01) -> DataFrame:
-    """For each (host, text_hash) with boilerplate: the hashes of the lines to remove."""
-    lines = materialize(line_rows(docs, text, host), "line-rows")
-    hit = lines.join(frequent_lines(lines, min_texts, share), ["host", "line_hash"], "left_semi")
-    return materialize(hit.groupBy("host", "text_hash").agg(
-        F.collect_set("line_hash").alias("frequent")), "frequent-lines")
+def _with_frequent(docs: DataFrame, text: str, host: str, min_texts: int, share: float,
+                   broadcast_rows: int) -> DataFrame:
+    """``docs`` with ``_f``: hashes of frequent lines that matter for the row, null if there are none.
+
+    A host has at most (lines per text) / share frequent lines, so with few hosts the whole list is small: up to
+    ``broadcast_rows`` it is sent to all tasks.  Beyond, rows meet their lines by (host, text hash)."""
+    keyed = docs.withColumn("_h", _host(host))
+    found = materialize(frequent_lines(docs, text, host, min_texts, share), "frequent-lines")
+    if found.count() <= broadcast_rows:
+        lists = found.groupBy(F.col("host").alias("_h")).agg(F.collect_list("line_hash").alias("_f"))
+        return keyed.join(F.broadcast(lists), "_h", "left").drop("_h")
+    t = text_of(text)
+    mine = docs.select(_host(host).alias("host"), F.xxhash64(t).alias("_x"), F.explode(
+        F.transform(normal_lines(t), lambda x: F.xxhash64(x))).alias("line_hash")).distinct() \
+        .join(found, ["host", "line_hash"], "left_semi")
+    lists = mine.groupBy(F.col("host").alias("_h"), "_x").agg(F.collect_list("line_hash").alias("_f"))
+    return keyed.withColumn("_x", F.xxhash64(t)).join(lists, ["_h", "_x"], "left").drop("_h", "_x")
 
 
 def filter_lines(docs: DataFrame, text: str = "text", host: str = "source", min_texts: int = 10,
-                 share: float = 0.01, min_left: float = 0.3) -> DataFrame:
-    """``docs`` with the base counts, ``clean_text`` (frequent lines removed),
+                 share: float = 0.01, min_left: float = 0.3, broadcast_rows: int = 100_000) -> DataFrame:
+    """``docs`` with the base counts, ``base_failed``, ``clean_text`` (frequent lines removed),
     ``n_removed_lines``, ``words_left`` and ``kept``."""
-    gone = removed_lines(docs, text, host, min_texts, share).withColumnsRenamed(
-        {"host": "_h", "text_hash": "_x", "frequent": "_f"})
-    keyed = docs.withColumn("_h", _host(host)).withColumn("_x", F.xxhash64(text_of(text)))
-    out = keyed.join(gone, ["_h", "_x"], "left").drop("_h", "_x")
-    raw = F.split(text_of(text), "\n")
-    keep = F.filter(F.arrays_zip(raw.alias("raw"), normal_lines(text_of(text)).alias("norm")),
-                    lambda z: ~F.array_contains(F.col("_f"), F.xxhash64(z["norm"])))
-    kept_lines = F.transform(keep, lambda z: z["raw"])
-    out = base_counts(out, text).withColumn("_kl", F.when(F.col("_f").isNull(), raw).otherwise(kept_lines))
-    out = out.withColumn("clean_text", F.when(F.col("_f").isNull(), text_of(text)).otherwise(F.array_join("_kl", "\n"))) \
-        .withColumn("n_removed_lines", (F.size(raw) - F.size("_kl")).cast("bigint")) \
-        .withColumn("words_left", F.when(F.col("_f").isNull(), F.col("n_words"))
-                    .otherwise(F.size(words_of(F.col("clean_text"))).cast("bigint")))
-    depleted = F.col("_f").isNotNull() & (
-        (F.col("words_left") < MIN_WORDS) | (F.col("words_left") < min_left * F.col("n_words")))
-    return out.withColumn("kept", ~F.col("base_failed") & ~depleted).drop("_f", "_kl")
+    t = text_of(text)
+    out = _with_frequent(base_counts(docs, text), text, host, min_texts, share, broadcast_rows)
+    raw = F.split(t, "\n")
+    pairs = F.arrays_zip(raw.alias("raw"), normal_lines(t).alias("norm"))
+    kept = F.transform(F.filter(pairs, lambda z: ~F.array_contains(F.col("_f"), F.xxhash64(z["norm"]))),
+                       lambda z: z["raw"])
+    out = out.withColumn("_k", F.when(F.col("_f").isNotNull(), kept))
+    out = out.withColumn("n_removed_lines", F.coalesce(F.size(raw) - F.size("_k"), F.lit(0)).cast("bigint"))
+    touched = F.col("n_removed_lines") > 0
+    out = out.withColumn("clean_text", F.when(touched, F.array_join("_k", "\n")).otherwise(t)).drop("_k", "_f")
+    out = out.withColumn("words_left", F.when(touched, F.size(words_of(F.col("clean_text"))).cast("bigint"))
+                         .otherwise(F.col("n_words")))
+    depleted = touched & ((F.col("words_left") < MIN_WORDS) | (F.col("words_left") < min_left * F.col("n_words")))
+    return out.withColumn("kept", ~F.col("base_failed") & ~depleted)
