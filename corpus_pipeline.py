@@ -24,7 +24,9 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def with_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules, without the lines that too many texts of their source share."""
     own = docs.columns
-    judged = line_frequency.filter_lines(docs.select("doc_id", "text", "source", F.struct(*own).alias("__own"))).where("kept")
+    judged = line_frequency.filter_lines(docs.select("doc_id", "text", "source", F.struct(*own).alias("__own")))
+    # The row number keeps Catalyst from moving the filter below the counts, where each use would compute them anew.
+    judged = judged.withColumn("__row", F.monotonically_increasing_id()).where("kept and __row >= 0")
     made = {"text": F.when(F.col("n_removed_lines") > 0, F.col("clean_text")).otherwise(F.col("__own")["text"])}
     made["n_chars"] = F.length(made["text"]).cast("bigint")
     return judged.select(*[(made[c] if c in made else F.col("__own")[c]).alias(c) for c in own])
