@@ -63,26 +63,48 @@ def _unpack(blob: bytes) -> list[bytes]:
     return [raw[a:b] for a, b in zip([8 * (n + 1), *ends[:-1].tolist()], ends.tolist())]
 
 
+def _spread(x: np.ndarray) -> bytes:
+    """A uint32 array with equal bytes brought together."""
+    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _gather(b: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
+def block_body(held: list[tuple[int | None, int, bytes]]) -> bytes:
+    """(id, held out, text) of a run of texts as one cell: words are numbered in the block, hashes name them outside."""
+    import xxhash
+
+    number: dict[bytes, int] = {END: 0}
+    seq: list[int] = []
+    n_tokens = []
+    for _, _, text in held:
+        words = text.lower().split()
+        seq.extend([number.setdefault(w, len(number)) for w in words])
+        seq.append(0)
+        n_tokens.append(len(words) + 1)
+    h = xxhash.xxh64_intdigest
+    return _pack([np.array([i or 0 for i, _, _ in held], dtype="<i8").tobytes(),
+                  bytes((i is None) | out << 1 for i, out, _ in held), _spread(np.array(n_tokens)),
+                  _spread(np.array(seq)), np.array([h(w, 42) for w in number], dtype="<u8").tobytes()])
+
+
 def blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
-    """One row for each run of texts: ids, nulls among them, training flags and texts in one compressed cell."""
+    """One row for each run of texts of about ``block_bytes``."""
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
         task, k, held, size = TaskContext.get().partitionId(), 0, [], 0
-
-        def row():
-            ids = np.array([0 if r[0] is None else r[0] for r in held], dtype="<i8").tobytes()
-            flags = bytes((r[0] is None) | r[1] << 1 for r in held)
-            return pd.DataFrame({"block": [task << 32 | k], "body": [_pack([ids, flags, *(r[2] for r in held)])]})
         for b in batches:
             for i, h, t in zip(b["doc_id"], b["held_out"], b["text"]):
-                body = (t or "").encode("utf-8", "surrogatepass")
-                held.append((None if pd.isna(i) else int(i), int(h), body))
-                size += len(body) + 64
+                text = (t or "").encode("utf-8", "surrogatepass")
+                held.append((None if pd.isna(i) else int(i), int(h), text))
+                size += len(text) + 64
                 if size >= block_bytes:
-                    yield row()
+                    yield pd.DataFrame({"block": [task << 32 | k], "body": [block_body(held)]})
                     k, held, size = k + 1, [], 0
         if held:
-            yield row()
+            yield pd.DataFrame({"block": [task << 32 | k], "body": [block_body(held)]})
     return docs.select("doc_id", "held_out", "text").mapInPandas(pack, BLOCK)
 
 
@@ -91,41 +113,30 @@ class BlockGrams:
     k-gram that ends at each token (-1 where the text has fewer tokens before it)."""
 
     def __init__(self, body: bytes, order: int):
-        import xxhash
-
-        ids, flags, *texts = _unpack(body)
+        ids, flags, n_tokens, words, word_keys = _unpack(body)
         self.ids = np.frombuffer(ids, "<i8")
         flags = np.frombuffer(flags, np.uint8)
         self.no_id, self.held = (flags & 1).astype(bool), (flags & 2).astype(bool)
-        number: dict[bytes, int] = {END: 0}
-        seq: list[int] = []
-        self.n_tokens = np.zeros(len(texts), dtype=np.int64)
-        for d, t in enumerate(texts):
-            words = t.lower().split()
-            seq.extend([number.setdefault(w, len(number)) for w in words])
-            seq.append(0)
-            self.n_tokens[d] = len(words) + 1
-        self.words = np.array(seq, dtype=np.int64)
+        self.n_tokens, self.words = _gather(n_tokens), _gather(words)
         self.ends = np.cumsum(self.n_tokens)
-        within = np.arange(len(seq)) - np.repeat(self.ends - self.n_tokens, self.n_tokens)
+        word_keys = np.frombuffer(word_keys, "<u8")
+        n_words = len(word_keys)
+        within = np.arange(len(self.words)) - np.repeat(self.ends - self.n_tokens, self.n_tokens)
         train = np.repeat(~self.held, self.n_tokens)
-        h = xxhash.xxh64_intdigest
-        word_keys = np.array([h(w, 42) for w in number], dtype=np.uint64)
         self.at, self.keys, self.counts, self.history, self.last = [], [], [], [], []
         for k in range(1, order + 1):
             if k == 1:
                 at, keys = self.words, word_keys
                 self.history.append(None)
-                self.last.append(np.arange(len(number)))
+                self.last.append(np.arange(n_words))
             else:
-                ok = within >= k - 1
-                where = np.nonzero(ok)[0]
-                pair = self.at[-1][where - 1] * len(number) + self.words[where]
+                where = np.nonzero(within >= k - 1)[0]
+                pair = self.at[-1][where - 1] * n_words + self.words[where]
                 uniq, inv = np.unique(pair, return_inverse=True)
-                at = np.full(len(seq), -1, dtype=np.int64)
+                at = np.full(len(self.words), -1, dtype=np.int64)
                 at[where] = inv
-                self.history.append(uniq // len(number))
-                self.last.append(uniq % len(number))
+                self.history.append(uniq // n_words)
+                self.last.append(uniq % n_words)
                 x = self.keys[-1][self.history[-1]] * MIX + word_keys[self.last[-1]]
                 x ^= x >> np.uint64(32)
                 x *= MIX
@@ -165,75 +176,54 @@ def _from_numbers(b: bytes) -> np.ndarray:
 
 
 class Automaton:
-    """States, arcs and failure arcs over the n-grams of one block."""
+    """States, arcs and failure arcs over the n-grams of one block.  State 0 is the root; the k-grams seen in
+    training, k < order, follow.  ``arcs`` finds the number of the arc of a state and a word."""
 
     def __init__(self, grams: BlockGrams, counts: list[np.ndarray], n: int, v: int, kappa: float):
-        order = len(counts)
+        order, self.n_words = len(counts), len(counts[0])
         prob = (counts[0] + 0.1) / (n + 0.1 * (v + 1))
         self.base = np.log10(prob)
-        n_words = len(counts[0])
-        # State 0 is the root; the k-grams seen in training, k < order, follow.
-        self.fail, self.back = [0], [0.0]
-        probs, state_of, suffix = [prob], [], []
-        arcs: dict[int, tuple[float, int]] = {}
-        n_states = 1
+        # end_state[k][g]: state of the longest ending of the (k+1)-gram g that is one, shorter than the order.
+        fail, back, end_state, source, word, weight, to = [np.zeros(1, dtype=np.int64)], [np.zeros(1)], [], [], [], [], []
+        n_states, suffix, own_state = 1, None, None
         for k in range(1, order + 1):
-            if k == 1:
-                suf = None
-            else:                                   # the (k-1)-gram left when the first token is dropped
+            c = counts[k - 1]
+            if k > 1:                               # the (k-1)-gram left when the first token is dropped
                 where = np.nonzero(grams.at[k - 1] >= 0)[0]
-                suf = np.zeros(len(counts[k - 1]), dtype=np.int64)
-                suf[grams.at[k - 1][where]] = grams.at[k - 2][where]
-                ctx = counts[k - 2][grams.history[k - 1]]
-                probs.append((counts[k - 1] + kappa * probs[-1][suf]) / (ctx + kappa))
-            suffix.append(suf)
+                suffix = np.zeros(len(c), dtype=np.int64)
+                suffix[grams.at[k - 1][where]] = grams.at[k - 2][where]
+                prob = (c + kappa * prob[suffix]) / (counts[k - 2][grams.history[k - 1]] + kappa)
+            shorter = np.zeros(len(c), dtype=np.int64) if k == 1 else end_state[-1][suffix]
+            seen = c > 0
+            use = np.arange(len(c)) if k == 1 else np.nonzero(seen)[0]
+            before = np.zeros(len(use), dtype=np.int64) if k == 1 else own_state[grams.history[k - 1][use]]
             if k < order:
-                seen = counts[k - 1] > 0
-                states = np.where(seen, n_states + np.cumsum(seen) - 1, -1)
+                own_state = np.where(seen, n_states + np.cumsum(seen) - 1, -1)
                 n_states += int(seen.sum())
-                state_of.append(states)
-                for g in np.nonzero(seen)[0].tolist():
-                    self.back.append(math.log10(kappa / (counts[k - 1][g] + kappa)))
-                    self.fail.append(0 if k == 1 else int(self._longest(state_of, suffix, k - 1, int(suf[g]))))
-        for k in range(1, order + 1):
-            lp = np.log10(probs[k - 1])
-            use = np.arange(n_words) if k == 1 else np.nonzero(counts[k - 1] > 0)[0]
-            source = np.zeros(len(use), dtype=np.int64) if k == 1 else state_of[k - 2][grams.history[k - 1][use]]
-            if k < order:
-                to = state_of[k - 1][use]
-                short = np.nonzero(to < 0)[0].tolist()
-                for j in short:
-                    to[j] = 0 if k == 1 else self._longest(state_of, suffix, k - 1, int(suffix[k - 1][use[j]]))
-            else:
-                to = np.array([0 if k == 1 else self._longest(state_of, suffix, k - 1, int(g))
-                               for g in (use if k == 1 else suffix[k - 1][use]).tolist()], dtype=np.int64)
-            key = (source * n_words + grams.last[k - 1][use]).tolist()
-            arcs.update(zip(key, zip(lp[use].tolist(), to.tolist())))
-        self.arcs, self.n_words = arcs, n_words
-
-    @staticmethod
-    def _longest(state_of, suffix, k: int, g: int) -> int:
-        """State of the k-gram ``g``, or of its longest ending that is a state."""
-        while k >= 1:
-            s = int(state_of[k - 1][g])
-            if s >= 0:
-                return s
-            if k == 1:
-                return 0
-            g, k = int(suffix[k - 1][g]), k - 1
-        return 0
+                fail.append(shorter[seen])
+                back.append(np.log10(kappa / (c[seen] + kappa)))
+                end_state.append(np.where(seen, own_state, shorter))
+            source.append(before)
+            word.append(grams.last[k - 1][use])
+            weight.append(np.log10(prob[use]))
+            to.append((end_state[-1] if k < order else shorter)[use])
+        keys = np.concatenate(source) * self.n_words + np.concatenate(word)
+        self.arcs = dict(zip(keys.tolist(), range(len(keys))))
+        self.weight, self.to = np.concatenate(weight).tolist(), np.concatenate(to).tolist()
+        self.fail, self.back = np.concatenate(fail).tolist(), np.concatenate(back).tolist()
 
     def score(self, words: list[int]) -> float:
         """log10 probability of a text, read once from left to right."""
-        arcs, fail, back, n, state, total = self.arcs, self.fail, self.back, self.n_words, 0, 0.0
+        arcs, weight, to, fail, back = self.arcs, self.weight, self.to, self.fail, self.back
+        n, state, total = self.n_words, 0, 0.0
         for w in words:
             arc = arcs.get(state * n + w)
             while arc is None:
                 total += back[state]
                 state = fail[state]
                 arc = arcs.get(state * n + w)
-            total += arc[0]
-            state = arc[1]
+            total += weight[arc]
+            state = to[arc]
         return total
 
 

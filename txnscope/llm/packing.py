@@ -21,7 +21,7 @@ empty result.
 
 from __future__ import annotations
 
-import re
+import string
 import zlib
 
 import numpy as np
@@ -32,39 +32,76 @@ from pyspark.sql import functions as F
 from txnscope.session import materialize
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
-_RISKY = re.compile(r" [\s\x1c-\x1f\x85]|^ | \Z|<\|")
 
 
 class Encoder:
     """Little-endian 32-bit ids of texts as bytes.
 
     A byte-level BPE never joins across the space before a non-space character,
-    so texts are cut there and each chunk is encoded once per task; texts with
-    runs of white space or the start of a special token are encoded whole."""
+    a single line break between two of them, or a word and the punctuation
+    behind it.  Texts are cut there, and each word and each run of punctuation
+    goes through the tokenizer's model once; any other chunk goes through the
+    whole tokenizer, as do texts with runs of white space or the start of a
+    special token."""
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 400_000):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer, self.memo, self.limit = Tokenizer.from_file(path), {}, limit
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.model = self.tokenizer.model
+        self.spaced: dict[str, bytes] = {}          # words behind a space
+        self.bare: dict[str, bytes] = {}            # words and punctuation without one
+        # The byte-level alphabet: printable bytes stand for themselves, the others for 256 and up in turn.
+        shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        rest = iter(range(256, 512))
+        self.alphabet = {b: b if b in shown else next(rest) for b in range(256)}
+        self.line_break = self._whole("\n")
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        spelled = piece.encode("utf-8").decode("latin-1").translate(self.alphabet)
+        return np.array([t.id for t in self.model.tokenize(spelled)], dtype="<u4").tobytes()
+
+    def _chunk(self, chunk: str, space: str) -> bytes | None:
+        """Ids of ``space`` ('' or ' ') and a chunk; None if the chunk is empty or begins with white space."""
+        if not chunk or chunk[0].isspace():
+            return None
+        word = chunk.rstrip(string.punctuation)
+        if not word.isalpha():
+            left, line, right = chunk.partition("\n")
+            if line and left and right and not left[-1].isspace() and not right[0].isspace():
+                return self._chunk(left, space) + self.line_break + self._chunk(right, "")
+            return self._whole(space + chunk)
+        memo = self.spaced if space else self.bare
+        head = memo.get(word)
+        if head is None:
+            head = memo[word] = self._piece(space + word)
+        if len(word) == len(chunk):
+            return head
+        tail = self.bare.get(chunk[len(word):])
+        if tail is None:
+            tail = self.bare[chunk[len(word):]] = self._piece(chunk[len(word):])
+        return head + tail
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        if _RISKY.search(text):
-            return self._whole([text])[0]
         first, *rest = text.split(" ")
-        memo = self.memo
-        new = list({c for c in rest if c not in memo})
-        if new:
-            if len(memo) + len(new) > self.limit:
-                memo.clear()
-                new = list(set(rest))
-            memo.update(zip(new, self._whole([" " + c for c in new])))
-        return self._whole([first])[0] + b"".join([memo[c] for c in rest])
+        if "<|" in text or first == "":
+            return self._whole(text)
+        if len(self.spaced) + len(self.bare) > self.limit:
+            self.spaced.clear()
+            self.bare.clear()
+        known, out = self.spaced.get, [self._chunk(first, "") or self._whole(first)]
+        for c in rest:
+            got = known(c) or self._chunk(c, " ")
+            if got is None:
+                return self._whole(text)
+            out.append(got)
+        return b"".join(out)
 
 
 _encoders: dict[str, Encoder] = {}
@@ -114,7 +151,7 @@ class RoomTree:
     def __init__(self, window: int):
         self.size = 1 << window.bit_length()
         self.any = [0] * (2 * self.size)
-        self.runs: dict[int, list[tuple[int, int, int]]] = {}
+        self.runs: dict[int, list[tuple[int, int]]] = {}
 
     def add(self, room: int, first: int, last: int) -> None:
         """Windows ``first`` to ``last`` (exclusive) have ``room`` left."""
