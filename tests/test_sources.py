@@ -46,3 +46,26 @@ def test_has_rows_missing_and_table_roundtrip(spark, tmp_dir):
     back = spark.read.parquet(f"{tmp_dir}/tbl")
     assert back.count() == 1
     assert os.path.isdir(f"{tmp_dir}/tbl")
+
+
+def test_csv_columns_bound_by_header_name(spark, tmp_dir):
+    """Reordered and extra columns, and NaN, which is loaded as null."""
+    path = f"{tmp_dir}/t.csv"
+    names = ["extra", *reversed(TXN_COLUMNS)]
+    values = {"step": "1", "type": "PAYMENT", "amount": "NaN", "nameOrig": "C1", "oldbalanceOrg": "181.0",
+              "newbalanceOrig": "0.0", "nameDest": "M1", "oldbalanceDest": "1.0", "newbalanceDest": "2.0",
+              "isFraud": "0", "isFlaggedFraud": "0", "extra": "x"}
+    with open(path, "w") as f:
+        f.write(",".join(names) + "\n" + ",".join(values[n] for n in names) + "\n")
+    row = R.read_transactions_csv(spark, path).first()
+    assert (row["oldbalanceOrg"], row["newbalanceOrig"], row["step"]) == (181.0, 0.0, 1)
+    accepted, rejected, counts = R.split_valid(spark, path, f"{tmp_dir}/staging")
+    assert accepted.first()["amount"] is None and counts["accepted"] == 1 and rejected.count() == 0
+
+
+def test_money_keeps_digits_below_a_cent(spark):
+    from pyspark.sql import functions as F
+
+    from txnscope.functions import exact
+    got = spark.range(1000).select(F.lit(0.004).alias("amount")).agg(exact.money_sum("amount").alias("s")).first()["s"]
+    assert got == 4.0

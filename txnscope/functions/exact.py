@@ -21,6 +21,7 @@ def _name(col: Column | str) -> str:
     raise TypeError("pass a column name")
 
 
+MONEY_SCALE = 6       # digits of money kept while summing
 SPLIT = 20            # cents = hi * 2^20 + lo, 0 <= lo < 2^20
 
 
@@ -49,9 +50,15 @@ def units_sum(col: str | Column, scale: int = 2) -> Column:
     return hi.cast("decimal(38,0)") * F.lit(1 << SPLIT) + lo.cast("decimal(38,0)")
 
 
-def money_sum(col: str) -> Column:
-    """Exact sum of a 2-decimal money column, as double."""
-    return (units_sum(col, 2).cast("double") / F.lit(100.0))
+def money_sum(col: str | Column) -> Column:
+    """Sum of a money column rounded to 2 decimals at the end, as double; digits below a cent count."""
+    return half_up(units_sum(col, MONEY_SCALE), 10 ** (MONEY_SCALE - 2)).cast("double") / F.lit(100.0)
+
+
+def half_up(q: Column, by: int) -> Column:
+    """q / by rounded half away from zero, for an integral decimal q."""
+    a = F.abs(q) + F.lit(by // 2)
+    return F.signum(q).cast("decimal(1,0)") * ((a - a % by) / by).cast("decimal(38,0)")
 
 
 def exact_mean(col: str, scale_in: int = 2, places: int = 2, mult: int = 1) -> Column:
@@ -72,7 +79,7 @@ def exact_mean(col: str, scale_in: int = 2, places: int = 2, mult: int = 1) -> C
 
 def money_avg(col: str) -> Column:
     """Mean of a money column rounded half-up to 2 places, computed exactly."""
-    return exact_mean(col, 2, 2)
+    return exact_mean(col, MONEY_SCALE, 2)
 
 
 def half_up_ratio(num: Column, den: Column, scale: int, places: int) -> Column:
@@ -98,7 +105,7 @@ def sql_units(x: str, scale: int) -> str:
 
 
 def sql_money_sum(x: str) -> str:
-    return f"(CAST(sum({sql_units(x, 2)}) AS DOUBLE) / 100.0)"
+    return f"round(CAST(sum({sql_units(x, MONEY_SCALE)}) AS DOUBLE) / {float(10 ** MONEY_SCALE)}, 2)"
 
 
 def sql_exact_mean(x: str, scale_in: int = 2, places: int = 2, mult: int = 1) -> str:
@@ -111,7 +118,7 @@ def sql_exact_mean(x: str, scale_in: int = 2, places: int = 2, mult: int = 1) ->
 
 
 def sql_money_avg(x: str) -> str:
-    return sql_exact_mean(x, 2, 2)
+    return sql_exact_mean(x, MONEY_SCALE, 2)
 
 
 def sql_pct(num: str, den: str, places: int, scale: int = 100) -> str:

@@ -138,3 +138,10 @@ def short_id(col: Column | str) -> Column:
 def money_text(col: Column | str, places: int = 0) -> Column:
     x = c(col) if isinstance(col, str) else col
     return F.format_number(x, places)
+
+
+def unusable_inputs(names) -> Column:
+    """Names of the columns that are null or NaN, comma-separated; null if there are none."""
+    bad = F.array_compact(F.array(*[
+        F.when(F.nanvl(F.col(n).cast("double"), F.lit(None).cast("double")).isNull(), F.lit(n)) for n in names]))
+    return F.when(F.size(bad) > 0, F.array_join(bad, ","))

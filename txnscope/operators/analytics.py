@@ -119,7 +119,7 @@ def amount_by_label(df: DataFrame) -> DataFrame:
     """Mean amount and count per label.  The mean is not a display value here,
     so it keeps 6 places (exact, half-up) instead of money's 2."""
     return df.groupBy("isFraud").agg(
-        exact.exact_mean("amount", 2, 6).alias("avg_amount"),
+        exact.exact_mean("amount", exact.MONEY_SCALE, 6).alias("avg_amount"),
         F.count(F.lit(1)).alias("count"),
     ).select(rules.fraud_label("isFraud", legit="Legit").alias("isFraud"),
              "avg_amount", "count")
@@ -155,8 +155,7 @@ def kpis(df: DataFrame) -> DataFrame:
     agg = df.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(c("isFraud") == 1).alias("fraud"),
-        (F.coalesce(exact.units_sum(F.when(c("isFraud") == 1, c("amount")), 2),
-                    F.lit(0).cast("decimal(28,0)")).cast("double") / F.lit(100.0))
+        F.coalesce(exact.money_sum(F.when(c("isFraud") == 1, c("amount"))), F.lit(0.0))
         .alias("fraud_amount_lost"),
     )
     return agg.select("total", "fraud", (c("total") - c("fraud")).alias("legit"),

@@ -155,7 +155,7 @@ def _registry() -> dict[str, tuple[Query, str | None]]:
     r["a6_amount_by_label"] = (
         lambda s, d: an.amount_by_label(_L(s, d)),
         with_ledger(f"SELECT {Q.fraud_label('isFraud', 'Legit')} AS isFraud, "
-                    f"{exact.sql_exact_mean('amount', 2, 6)} AS avg_amount, count(*) AS count "
+                    f"{exact.sql_exact_mean('amount', exact.MONEY_SCALE, 6)} AS avg_amount, count(*) AS count "
                     "FROM ledger GROUP BY ledger.isFraud"))
     bucket_case = ("CASE WHEN amount < 1000 THEN '{0}' WHEN amount < 10000 THEN '{1}' "
                    "WHEN amount < 100000 THEN '{2}' WHEN amount < 500000 THEN '{3}' "
@@ -174,8 +174,8 @@ def _registry() -> dict[str, tuple[Query, str | None]]:
             "SELECT total, fraud, total - fraud AS legit, fraud_amount_lost, "
             f"{_pct('fraud', 'total', 4)} AS fraud_rate FROM ("
             "SELECT count(*) AS total, count(*) FILTER (WHERE isFraud = 1) AS fraud, "
-            "CAST(coalesce(sum(CAST(round(amount * 100.0) AS BIGINT)) FILTER (WHERE isFraud = 1), "
-            "0) AS DOUBLE) / 100.0 AS fraud_amount_lost FROM ledger) k"))
+            f"coalesce({_ms('CASE WHEN isFraud = 1 THEN amount END')}, 0.0) AS fraud_amount_lost "
+            "FROM ledger) k"))
     r["a15_class_balance"] = (
         lambda s, d: an.class_balance(_L(s, d)),
         with_ledger("SELECT isFraud, count(*) AS count FROM ledger GROUP BY isFraud "

@@ -16,12 +16,29 @@ from txnscope.schema import TXN_COLUMNS, TXN_SCHEMA
 CORRUPT = "_corrupt_record"
 
 
+def header_schema(spark: SparkSession, path: str, needed: list[str]) -> T.StructType:
+    """The declared types in the order of the file's header; columns that are not declared are text."""
+    names = spark.read.option("header", True).csv(path).columns        # reads one line
+    missing = sorted(set(needed) - set(names))
+    if missing:
+        raise ValueError(f"{path} lacks the columns {missing}")
+    declared = {f.name: f.dataType for f in TXN_SCHEMA.fields}
+    return T.StructType([T.StructField(n, declared.get(n, T.StringType())) for n in names])
+
+
+def nan_as_null(df: DataFrame) -> DataFrame:
+    return df.withColumns({f.name: F.nanvl(F.col(f.name), F.lit(None).cast(f.dataType)) for f in df.schema.fields
+                           if isinstance(f.dataType, (T.DoubleType, T.FloatType))})
+
+
 # S1 ---------------------------------------------------------------------------
 def read_transactions_csv(spark: SparkSession, path: str,
                           columns: list[str] | None = None) -> DataFrame:
-    """Typed CSV scan with a declared schema and column selection; input
-    splits (``spark.sql.files.maxPartitionBytes``) replace fixed-size chunks."""
-    df = spark.read.schema(TXN_SCHEMA).option("header", True).csv(path)
+    """Typed CSV scan with declared types and column selection by header name;
+    input splits (``spark.sql.files.maxPartitionBytes``) replace fixed-size
+    chunks.  A file whose header differs from the first one's raises."""
+    schema = header_schema(spark, path, columns or TXN_COLUMNS)
+    df = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
     return df.select(*(columns or TXN_COLUMNS))
 
 
@@ -86,9 +103,10 @@ def split_valid(spark: SparkSession, csv_path: str,
     One pass over the input; good rows survive bad ones (the bulk-insert
     "keep going" behaviour), rejects keep their raw text, and the counts are
     observed during the same write (one merge per successful task)."""
-    schema = T.StructType(TXN_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType())])
-    raw = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+    schema = header_schema(spark, csv_path, TXN_COLUMNS).add(CORRUPT, T.StringType())
+    raw = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
            .option("columnNameOfCorruptRecord", CORRUPT).csv(csv_path))
+    raw = nan_as_null(raw.select(*TXN_COLUMNS, CORRUPT))
     bad = F.col(CORRUPT).isNotNull()
     obs = Observation("load")
     flagged = raw.withColumn("_rejected", bad.cast("int")).observe(
@@ -138,8 +156,10 @@ def encode_messages(df: DataFrame, id_col: str = "txn_id", ts_col: str | None =
     uuid, an ISO-8601 UTC timestamp, the type decoded to its name."""
     from txnscope.functions import features as fx
     type_name = F.col("type") if "type" in df.columns else fx.type_decoded("type_encoded")
-    ts = (F.date_format(F.col(ts_col), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'") if ts_col
-          else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"))
+    at = F.col(ts_col) if ts_col else F.current_timestamp()
+    if not ts_col or dict(df.dtypes)[ts_col] == "timestamp":     # an instant, shown in the session's zone
+        at = F.to_utc_timestamp(at, F.current_timezone())
+    ts = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
     money = ["amount", "oldbalanceOrg", "newbalanceOrig", "oldbalanceDest", "newbalanceDest"]
     body = F.struct(
         stable_uuid(id_col).alias("transaction_id"), ts.alias("timestamp"),

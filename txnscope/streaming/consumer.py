@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from txnscope.functions import exact
 from txnscope.functions import features as fx
 from txnscope.functions import rules
-from txnscope.schema import MESSAGE_SCHEMA, RAW_SCORING_FIELDS, STATS_INTERVAL_SECONDS
+from txnscope.schema import MESSAGE_SCHEMA, MODEL_FEATURES, RAW_SCORING_FIELDS, STATS_INTERVAL_SECONDS
 
 c = F.col
 Scorer = Callable[[DataFrame], DataFrame]   # adds "prediction" (int) and "p" (probability)
@@ -50,12 +50,19 @@ def parse_messages(raw: DataFrame) -> DataFrame:
     """JSON text -> typed columns; ``_valid`` marks rows that can be scored."""
     parsed = raw.select(F.from_json("value", MESSAGE_SCHEMA).alias("m"), "value") \
         .select("m.*", "value")
-    ok = c("transaction_id").isNotNull()
+    # A message without an id is named by its content; one whose model inputs cannot be computed is not valid.
+    h = F.sha2(c("value"), 256)
+    parsed = parsed.withColumn("transaction_id", F.coalesce("transaction_id", F.concat(F.lit("content-"), h)))
+    given = c("type").isNotNull()
     for f in RAW_SCORING_FIELDS:
-        ok = ok & c(f).isNotNull()
+        given = given & c(f).isNotNull()
+    columns = parsed.columns
+    ok = given & fx.unusable_inputs(MODEL_FEATURES).isNull()
+    parsed = fx.model_features(parsed).withColumn("_usable", ok).select(*columns, "_usable")
+    ok = c("_usable")
     # A message without a readable timestamp is stamped on arrival (as the
     # original consumer does), so de-duplication state can always expire.
-    return parsed.withColumn("_valid", F.coalesce(ok, F.lit(False))) \
+    return parsed.withColumn("_valid", F.coalesce(ok, F.lit(False))).drop("_usable") \
         .withColumn("event_time", F.coalesce(fx.parse_iso(c("timestamp")),
                                              F.current_timestamp()))
 
@@ -77,20 +84,10 @@ def deduplicate(parsed: DataFrame, watermark: str = "1 hour") -> DataFrame:
 # W2 ---------------------------------------------------------------------------
 def model_scorer(model) -> Scorer:
     """Score with a fitted pipeline; a linear one runs as compiled expressions."""
-    from pyspark.ml.functions import vector_to_array
-
-    from txnscope.learning.models import check_model_size, compiled_linear
-    check_model_size(model)
-    linear = compiled_linear(model)
+    from txnscope.learning.models import scored_features
 
     def score(df: DataFrame) -> DataFrame:
-        feats = fx.model_features(df)
-        if linear is not None:
-            keep, prob, pred = linear
-            return feats.filter(keep).withColumn("p", prob).withColumn("prediction", pred)
-        out = model.transform(feats)
-        return out.withColumn("p", vector_to_array("probability")[1]) \
-            .withColumn("prediction", c("prediction").cast("int"))
+        return scored_features(model, df).withColumnRenamed("score", "p")
     return score
 
 
@@ -155,7 +152,10 @@ def _trigger(writer, trigger: dict):
 def start_consumer(spark: SparkSession, raw: DataFrame, scorer: Scorer, alerts_path: str,
                    stats_path: str, checkpoint: str, rejects_path: str | None = None,
                    trigger: dict | None = None, watermark: str = "1 hour") -> list:
-    """Start the alert, stats (and reject) queries; returns their handles.
+    """Start the alert, stats and reject queries; returns their handles.
+
+    Messages that cannot be scored go to ``rejects_path``, by default beside
+    the alerts (``<alerts_path>-rejects``), so that none is lost.
 
     ``trigger`` defaults to a 60 s processing-time trigger (W5); pass
     ``{"availableNow": True}`` for a bounded run (W9)."""
@@ -184,13 +184,12 @@ def start_consumer(spark: SparkSession, raw: DataFrame, scorer: Scorer, alerts_p
                             .option("checkpointLocation", f"{checkpoint}/stats")
                             .foreachBatch(write_snapshot), trigger)
                    .queryName("fraud_stats").start())
-    if rejects_path:
-        rejects = parsed.filter(~c("_valid")).select("value", F.current_timestamp()
-                                                     .alias("rejected_at"))
-        handles.append(_trigger(rejects.writeStream.format("parquet").outputMode("append")
-                                .option("path", rejects_path)
-                                .option("checkpointLocation", f"{checkpoint}/rejects"), trigger)
-                       .queryName("fraud_rejects").start())
+    rejects_path = rejects_path or f"{alerts_path.rstrip('/')}-rejects"
+    rejects = parsed.filter(~c("_valid")).select("value", F.current_timestamp().alias("rejected_at"))
+    handles.append(_trigger(rejects.writeStream.format("parquet").outputMode("append")
+                            .option("path", rejects_path)
+                            .option("checkpointLocation", f"{checkpoint}/rejects"), trigger)
+                   .queryName("fraud_rejects").start())
     return handles
 
 
