@@ -5,7 +5,7 @@ url's path starts with the rule's; the longest wins.  Pages that a rule judges
 are the labelled outcomes.  For the rest, block rates are shrunk down the chain
 suffix, registered domain, host: each level's rate has a beta prior with the
 parent's posterior mean, whose strength is fitted to the spread of the level's
-rates by moments.  A page is blocked where the lower ``z`` bound of its host's
+rates by moments and bounded by the evidence behind the parent's rate.  A page is blocked where the lower ``z`` bound of its host's
 posterior block rate exceeds ``limit``; a host without labelled pages, in its
 domain or suffix either, has only wide priors and is allowed.
 
@@ -76,24 +76,27 @@ def strength(groups: DataFrame, n: str, k: str, mean: str, most: float = 1e4) ->
     return 1 / share - 1
 
 
-def reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
+def reputation(outcomes: DataFrame, z: float = 1.96) -> DataFrame:
     """host, n, blocked, rate (posterior mean), bound (lower) for each host of ``outcomes`` (host, n, blocked)."""
     domain, suffix = split_host(F.col("host"))
     hosts = outcomes.select("host", "n", "blocked", domain.alias("domain"), suffix.alias("suffix"))
     domains = hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n_d"), F.sum("blocked").alias("k_d"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n_d").alias("n_s"), F.sum("k_d").alias("k_s"))
     n, k = suffixes.agg(F.coalesce(F.sum("n_s"), F.lit(0)), F.coalesce(F.sum("k_s"), F.lit(0))).first()
-    suffixes = suffixes.withColumn("m", F.lit((k + 0.5) / (n + 1)))
+    suffixes = suffixes.withColumn("m", F.lit((k + 0.5) / (n + 1))).withColumn("c", F.lit(float(n + 1)))
     levels = []
     for groups, keys, nn, kk, below in ((suffixes, None, "n_s", "k_s", domains), (None, "suffix", "n_d", "k_d", hosts),
                                         (None, "domain", "n", "blocked", None)):
         groups = levels[-1] if groups is None else groups
         s = strength(groups, nn, kk, "m")
-        posterior = groups.withColumn("a", F.col("m") * s + F.col(kk)).withColumn("b", (1 - F.col("m")) * s + F.col(nn) - F.col(kk)) \
-            .withColumn("m", F.col("a") / (F.col("a") + F.col("b")))
+        # A prior is no stronger than what its parent's rate rests on.
+        prior = F.least(F.lit(s), F.col("c"))
+        posterior = groups.withColumn("a", F.col("m") * prior + F.col(kk)) \
+            .withColumn("b", (1 - F.col("m")) * prior + F.col(nn) - F.col(kk)) \
+            .withColumn("c", F.col("a") + F.col("b")).withColumn("m", F.col("a") / F.col("c"))
         if below is not None:
             on = ["suffix"] if below is domains else ["suffix", "domain"]
-            levels.append(below.join(posterior.select(*on, "m"), on))
+            levels.append(below.join(posterior.select(*on, "m", "c"), on))
         else:
             total = F.col("a") + F.col("b")
             sd = F.sqrt(F.col("a") * F.col("b") / (total * total * (total + 1)))
@@ -102,7 +105,7 @@ def reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
     raise AssertionError
 
 
-def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], limit: float = 0.5, z: float = 1.645,
+def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], limit: float = 0.5, z: float = 1.96,
           url: str = "url") -> DataFrame:
     """``pages`` with host, path, rule and verdict (allow or block).  A rule list is small: it becomes one expression."""
     u = F.col(url).cast("string")
