@@ -71,9 +71,9 @@ def strength(groups: DataFrame, n: str, k: str, mean: str, most: float = 1e4) ->
     got = groups.where(F.col(n) > 0).agg(
         F.sum(F.col(n) * F.pow(F.col(k) / F.col(n) - m, 2)), F.sum(m * (1 - m)), F.sum(F.col(n) * m * (1 - m))).first()
     if not got[0] or not got[2] or got[2] <= got[1]:
-        return 1.0
+        return 2.0
     share = min(max((got[0] - got[1]) / (got[2] - got[1]), 1 / (most + 1)), 0.99)    # between-group share of the variance
-    return 1 / share - 1
+    return max(1 / share - 1, 2.0)                  # at least as strong as a uniform prior
 
 
 def reputation(outcomes: DataFrame, z: float = 1.96) -> DataFrame:
