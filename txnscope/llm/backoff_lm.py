@@ -227,7 +227,7 @@ class Automaton:
         return total
 
 
-def score_documents(docs: DataFrame, held_out, order: int = 2, kappa: float = 200.0, block_bytes: int = 4 << 20,
+def score_documents(docs: DataFrame, held_out, order: int = 2, kappa: float = 200.0, block_bytes: int = 3 << 19,
                     shard_bytes: int = 24 << 20) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of ``docs`` (doc_id, text).
 
@@ -247,6 +247,7 @@ def score_documents(docs: DataFrame, held_out, order: int = 2, kappa: float = 20
                     for s in np.nonzero(np.diff(edges))[0].tolist():
                         part = at[edges[s]:edges[s + 1]]
                         out.append((block, k, s, _planes(g.keys[k][part]), _numbers(g.counts[k][part])))
+                del g                                   # before the next block is built
                 yield pd.DataFrame(out, columns=["block", "level", "shard", "keys", "counts"])
 
     sent = body.mapInPandas(send, "block bigint, level int, shard bigint, keys binary, counts binary")
@@ -288,6 +289,7 @@ def score_documents(docs: DataFrame, held_out, order: int = 2, kappa: float = 20
                 out = pd.DataFrame({"doc_id": pd.array(g.ids, dtype="Int64"), "held_out": g.held, "n_tokens": g.n_tokens,
                                     "n_known": known, "train_tokens": n, "base_score": base, "score": score})
                 out.loc[g.no_id, "doc_id"] = pd.NA
+                del g, auto, counts, words              # before the next block is built
                 yield out
 
     gathered = answers.groupBy("block").agg(F.collect_list(F.struct("level", "shard", "answer")).alias("got"))
