@@ -124,9 +124,16 @@ def derivatives(responses: DataFrame, key: str | None = None, software: str = "d
 
     def work(batches):
         for b in batches:
-            for row in b.itertuples(index=False):
-                got = derive(*(None if x is None or x != x else x for x in row[1:]), software)
-                yield pd.DataFrame([(row[0], *r) for r in got], columns=["__key", *names])
+            out, size = [], 0
+            for k, *row in zip(*(b[c] for c in b.columns)):
+                got = derive(*(None if x is None or x != x else x for x in row), software)
+                out += [(k, *r) for r in got]
+                size += sum(len(r[-1]) for r in got)
+                if size >= 4 << 20:                       # bounded frames, however long the bodies are
+                    yield pd.DataFrame(out, columns=["__key", *names])
+                    out, size = [], 0
+            if out:
+                yield pd.DataFrame(out, columns=["__key", *names])
     names = [x.split()[0] for x in ("record_type", "record_id", "refers_to", "target_uri", "source_payload_digest",
                                     "block_digest", "headers", "block")]
     inner = responses.select(*lead, *cols)
