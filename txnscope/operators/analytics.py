@@ -110,8 +110,9 @@ def fraud_by_type(df: DataFrame) -> DataFrame:
 
 
 def types_by_fraud_rate(summary: DataFrame) -> DataFrame:
-    """T5: the per-type summary ranked by fraud rate."""
-    return summary.orderBy(F.desc("fraud_rate"), "type")
+    """T5: the per-type summary ranked by fraud rate, ties by type; one row for each type."""
+    order = Window.orderBy(F.desc("fraud_rate"), "type")
+    return summary.withColumn("fraud_rank", F.row_number().over(order).cast("long")).orderBy("fraud_rank")
 
 
 # A6 ---------------------------------------------------------------------------

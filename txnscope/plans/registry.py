@@ -33,6 +33,12 @@ def _L(spark: SparkSession, sf: str) -> DataFrame:
     return ledger(spark, sf)
 
 
+def _fine_amounts(spark, sf):
+    """The ledger with NaN amounts in a seventh of the rows and five decimals in the others."""
+    return _L(spark, sf).withColumn(
+        "amount", F.when(F.col("txn_id") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("amount") / 1000))
+
+
 def _alerts(spark, sf):
     return al.rule_alerts(_L(spark, sf))
 
@@ -105,6 +111,16 @@ def _registry() -> dict[str, tuple[Query, str | None]]:
     r["p11_nan_to_null"] = (
         lambda s, d: an.nan_to_null(_L(s, d)),
         with_ledger(f"SELECT {LEDGER_COLS} FROM ledger"))
+    # P11 on amounts that are NaN in a seventh of the rows, with digits below a cent in the others.
+    fine = "CASE WHEN txn_id % 7 = 0 THEN NULL ELSE amount / 1000 END"
+    r["p11_nan_amounts"] = (
+        lambda s, d: an.nan_to_null(_fine_amounts(s, d)).select("txn_id", "type", "amount"),
+        with_ledger(f"SELECT txn_id, type, {fine} AS amount FROM ledger"))
+    r["a1_fine_amounts"] = (
+        lambda s, d: an.type_stats(an.nan_to_null(_fine_amounts(s, d))).select("type", "count", "total_amount"),
+        with_ledger("SELECT type, count(*) AS count, "
+                    f"CAST(round(sum(CAST({fine} AS DECIMAL(38,6))), 2) AS DOUBLE) AS total_amount "
+                    "FROM ledger GROUP BY type"))
     r["p12_features_and_target"] = (
         # amount_log compared at 9 places: log1p and ln(1 + x) differ in the last bit.
         lambda s, d: fx.features_and_target(_L(s, d))
@@ -201,7 +217,8 @@ def _registry() -> dict[str, tuple[Query, str | None]]:
                     "ORDER BY amount DESC, txn_id LIMIT 10"))
     r["t5_types_by_fraud_rate"] = (
         lambda s, d: an.types_by_fraud_rate(an.transaction_summary(_L(s, d))),
-        r["a2_transaction_summary"][1])
+        "SELECT *, row_number() OVER (ORDER BY fraud_rate DESC, type) AS fraud_rank FROM ("
+        + r["a2_transaction_summary"][1] + ") s")
     r["r1_safe_vs_fraud_long"] = (
         lambda s, d: an.safe_vs_fraud_long(an.transaction_summary(_L(s, d))),
         with_ledger(
@@ -408,8 +425,9 @@ def _resampled(spark, sf):
     from txnscope.learning import models as M
     from txnscope.learning.smote import smote
     from txnscope.learning.split import stratified_split
+    from txnscope.session import materialize
     train, test = stratified_split(M.prepare(_L(spark, sf)))
-    return smote(train, MODEL_FEATURES), test
+    return materialize(smote(train, MODEL_FEATURES), "resampled"), test
 
 
 def _add_learning(r: dict) -> None:
@@ -445,6 +463,20 @@ def _add_learning(r: dict) -> None:
             "txn_id", "type", "amount", "prediction", "label", "confidence", "risk_level",
             F.array_join("flags", "|").alias("flags"))
     r["m15_batch_scores"] = (batch_scores, None)
+    # Every row comes back; the reason is checked against SQL on null, NaN and zero-denominator inputs.
+    def score_reasons(s, d):
+        train, _ = _resampled(s, d)
+        lr = M.pipeline(M.classifier("Logistic Regression", M.ModelSpec(), train.count())) \
+            .fit(M.with_weights(train))
+        kind = F.col("txn_id") % 5
+        rows = _L(s, d).withColumn("amount", F.when(kind == 0, F.lit(None).cast("double"))
+                                   .when(kind == 1, F.lit(float("nan"))).otherwise(F.col("amount"))) \
+            .withColumn("oldbalanceOrg", F.when(kind == 2, F.lit(-1.0)).otherwise(F.col("oldbalanceOrg")))
+        return M.batch_score(lr, rows).select(
+            "txn_id", F.col("prediction").isNotNull().alias("scored"),
+            F.coalesce(F.col("score_error").contains("amount"), F.lit(False)).alias("names_amount"))
+    r["m15_score_reasons"] = (score_reasons, with_ledger(
+        "SELECT txn_id, txn_id % 5 > 2 AS scored, txn_id % 5 <= 2 AS names_amount FROM ledger"))
     r["m17_model_comparison"] = (
         lambda s, d: M.metric_table(M.compare_models(_L(s, d)).report), None)
 
