@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from math import fsum
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -35,6 +36,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txnscope.session import materialize
+
 EDGES = ".,;:!?\"'()[]{}<>*&%$#|-_/\\"
 _NOT_LETTERS = re.compile(r"^[\W\d_]+$")
 
@@ -101,6 +104,20 @@ def select_features(rows: DataFrame, max_features: int, min_z: float, min_rows:
     return [(r["f"], r["r"]) for r in top.collect()]
 
 
+class WordScores(dict):
+    """Sums of the weights that a word carries, kept for up to ``most`` words."""
+
+    def __init__(self, weights: dict[str, float], most: int = 200_000):
+        super().__init__()
+        self.weights, self.most = weights, most
+
+    def __missing__(self, word: str) -> float:
+        if len(self) >= self.most:
+            self.clear()
+        got = self[word] = fsum(self.weights.get(f, 0.0) for f in carried(word))
+        return got
+
+
 def encode(text: str | None, index: dict[str, int], memo: dict[str, tuple[int, ...]]) -> list[int]:
     """Feature numbers of a text, one for each distinct word that carries it."""
     out: list[int] = []
@@ -165,6 +182,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, max_fe
         .where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .join(_sample(known, max_labelled), "doc_id")
+    rows = materialize(rows, "toxicity-labelled")       # bounded; read for the counts and for the fit
     chosen = select_features(rows, max_features, min_z, min_rows)
     if not chosen:
         return OrdinalModel(reject_at=reject_at)
@@ -188,21 +206,12 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, max_fe
 def score(docs: DataFrame, model: OrdinalModel, text: str = "text", prefix: str = "") -> DataFrame:
     """``docs`` with expected_severity, grade (the likeliest), p_toxic = P(grade > 0) and toxic."""
     schema = "struct<s:double,g:int,p:double>"
-    weights, memo = model.weights, {}
+    words = WordScores(model.weights)
 
     @F.pandas_udf(schema)
     def severity(texts: pd.Series) -> pd.DataFrame:
-        total = np.zeros(len(texts))
-        for i, t in enumerate(texts):
-            s = 0.0
-            for w in distinct_words(t):
-                got = memo.get(w)
-                if got is None:
-                    if len(memo) >= 200_000:
-                        memo.clear()
-                    got = memo[w] = sum(weights.get(f, 0.0) for f in carried(w))
-                s += got
-            total[i] = s
+        # fsum: the order of a set's words leaves the sum as it is.
+        total = np.array([fsum(map(words.__getitem__, distinct_words(t))) for t in texts], dtype=np.float64)
         tail = model.tails(total)
         full = np.concatenate([np.ones((len(tail), 1)), tail, np.zeros((len(tail), 1))], axis=1)
         return pd.DataFrame({"s": tail.sum(axis=1), "g": np.argmax(full[:, :-1] - full[:, 1:], axis=1).astype(np.int32),
