@@ -79,3 +79,31 @@ def test_first_n_by_hash_equals_ordered_limit(spark):
         want = sorted(r[0] for r in txns.orderBy(F.xxhash64("txn_id", F.lit(42)), "txn_id")
                       .limit(n).select("txn_id").collect())
         assert got == want, n
+
+
+def test_csv_to_trained_model_to_evaluation(spark, tmp_dir):
+    """The stored load has row ids, so training runs on it; the evaluation follows its threshold."""
+    from txnscope.schema import TXN_COLUMNS
+    ledger(spark, SF_SMALL).select(*TXN_COLUMNS).write.option("header", True).csv(f"{tmp_dir}/csv")
+    R.load_transactions(spark, f"{tmp_dir}/csv", f"{tmp_dir}/txns", f"{tmp_dir}/fraud", f"{tmp_dir}/staging")
+    txns = spark.read.parquet(f"{tmp_dir}/txns")
+    assert txns.count() == txns.select("txn_id").distinct().count() == 1000
+    fraud = spark.read.parquet(f"{tmp_dir}/fraud")
+    assert fraud.join(txns.where("isFraud = 1"), "txn_id", "left_anti").isEmpty()
+    spec = M.ModelSpec(rf_trees=3, rf_depth=3, gbt_iter=2, gbt_depth=2, lr_iter=10, names=["Logistic Regression"])
+    model = M.load_model(batch_job.train_and_save(txns, f"{tmp_dir}/model", spec)["model"])
+    holed = txns.withColumn("amount", F.when(F.col("txn_id") == txns.first()["txn_id"], F.lit(None)).otherwise(F.col("amount")))
+    flagged = {}
+    for t in (0.2, 0.8):
+        out = batch_job.evaluate_and_save(model, holed, f"{tmp_dir}/eval-{t}", threshold=t)
+        m = spark.read.parquet(out["metrics"]).first()
+        assert m["tn"] + m["fp"] + m["fn"] + m["tp"] == 999 and m["unscored"] == 1 and m["threshold"] == t
+        assert 0 <= m["average_precision"] <= 1 and 0 <= m["roc_auc"] <= 1
+        got = M.score_transactions(model, holed).where("confidence is not null").count()
+        assert got == 999
+        flagged[t] = m["fp"] + m["tp"]
+        assert spark.read.parquet(out["per_class"]).agg(F.sum("support")).first()[0] == 999
+        last = spark.read.parquet(out["pr_points"]).orderBy("threshold").first()
+        assert last["recall"] == 1.0
+        assert spark.read.parquet(out["importances"]).count() > 0
+    assert flagged[0.2] >= flagged[0.8]

@@ -57,3 +57,31 @@ def train_and_save(txns: DataFrame, out_dir: str, spec=None) -> dict[str, str]:
     write_table(cmp.roc_points, f"{base}/roc_points")
     return {"model": f"{base}/model", "report": f"{base}/model_comparison",
             "roc_points": f"{base}/roc_points", "best": cmp.best_name}
+
+
+def evaluate_and_save(model, txns: DataFrame, out_dir: str, threshold: float = 0.5) -> dict[str, str]:
+    """Evaluate a fitted pipeline on labelled transactions at a decision threshold and write the metrics,
+    the per-class report, the ROC and precision-recall points and the feature importances.
+
+    The transactions are scored once; every table is made from the stored (label, score) rows.  Rows whose
+    model inputs are null or NaN have no score; they are counted as ``unscored`` and enter no other figure."""
+    from pyspark.sql import functions as F
+
+    from txnscope.learning import models as M
+    from txnscope.operators import metrics as me
+    from txnscope.schema import TARGET
+    from txnscope.session import materialize
+    spark, base = txns.sparkSession, out_dir.rstrip("/")
+    scored = materialize(M.scored_features(model, txns).select(
+        F.col(TARGET).cast("int").alias("label"), "score"), "evaluation-scores")
+    usable = scored.where("score is not null and label is not null")
+    decided = usable.withColumn("prediction", me.decide("score", threshold))
+    unscored = scored.agg(F.count_if(F.col("score").isNull() | F.col("label").isNull()).alias("unscored"))
+    one_row = me.classification_metrics(decided).crossJoin(me.roc_auc(usable)) \
+        .crossJoin(me.average_precision(usable)).crossJoin(unscored).withColumn("threshold", F.lit(float(threshold)))
+    tables = {"metrics": one_row, "per_class": me.per_class_report(decided), "roc_points": me.roc_curve(usable),
+              "pr_points": me.pr_curve(usable).select("threshold", "precision", "recall"),
+              "importances": M.importance_table(spark, M.feature_importance(model))}
+    for name, df in tables.items():
+        write_table(df, f"{base}/{name}")
+    return {name: f"{base}/{name}" for name in tables}

@@ -377,6 +377,28 @@ def _registry() -> dict[str, tuple[Query, str | None]]:
         .agg(F.count(F.lit(1)).alias("count")),
         _with(SCORED_CTE, body="SELECT label, prediction, count(*) AS count FROM decided "
               "GROUP BY label, prediction"))
+    r["m8_per_class_report"] = (
+        lambda s, d: me.per_class_report(_scored(s, d)),
+        _with(SCORED_CTE, body=(
+            'SELECT class, class_name, "precision", "recall", CASE WHEN "precision" + "recall" > 0 '
+            'THEN 2 * "precision" * "recall" / ("precision" + "recall") ELSE 0.0 END AS f1_score, support FROM ('
+            "SELECT k AS class, CASE WHEN k = 1 THEN 'Fraud' ELSE 'Legit' END AS class_name, "
+            "CASE WHEN count(*) FILTER (WHERE prediction = k) > 0 THEN count(*) FILTER (WHERE label = k AND "
+            "prediction = k) / count(*) FILTER (WHERE prediction = k) ELSE 0.0 END AS \"precision\", "
+            "CASE WHEN count(*) FILTER (WHERE label = k) > 0 THEN count(*) FILTER (WHERE label = k AND "
+            "prediction = k) / count(*) FILTER (WHERE label = k) ELSE 0.0 END AS \"recall\", "
+            "count(*) FILTER (WHERE label = k) AS support "
+            "FROM decided, (VALUES (0), (1)) v(k) GROUP BY k) x")))
+
+    def at_thresholds(s, d):
+        rows = _scored(s, d).withColumn("threshold", F.explode(F.array(*[F.lit(t) for t in (0.3, 0.5, 0.7)])))
+        return rows.withColumn("prediction", me.decide("score", F.col("threshold"))).groupBy("threshold").agg(
+            F.sum("prediction").alias("flagged"), F.sum(F.col("prediction") * F.col("label")).alias("caught"))
+    r["m12_threshold_sweep"] = (at_thresholds, _with(SCORED_CTE, body=(
+        "SELECT threshold, count(*) FILTER (WHERE score >= threshold) AS flagged, "
+        "count(*) FILTER (WHERE score >= threshold AND label = 1) AS caught FROM scored, "
+        "(VALUES (CAST(0.3 AS DOUBLE)), (CAST(0.5 AS DOUBLE)), (CAST(0.7 AS DOUBLE))) v(threshold) "
+        "GROUP BY threshold")))
     r["m9_roc_auc"] = (
         lambda s, d: me.roc_auc(_scored(s, d)),
         _with(SCORED_CTE, body=(
@@ -415,11 +437,65 @@ def _registry() -> dict[str, tuple[Query, str | None]]:
             "sum(pos) OVER () AS tp FROM ("
             "SELECT score, count(*) FILTER (WHERE label = 1) AS pos, "
             "count(*) FILTER (WHERE label <> 1) AS neg FROM scored GROUP BY score) g) w) a")))
+    _add_stored(r)
     _add_learning(r)
     _add_streaming(r)
     return r
 
 
+# --- write, then read back: sources and sinks over the whole ledger -----------------
+def _add_stored(r: dict) -> None:
+    import uuid
+
+    from txnscope.plans import batch_job
+    from txnscope.schema import TXN_COLUMNS
+    from txnscope.session import scratch_path
+    from txnscope.sources import readers as R
+
+    def folder(s):
+        return scratch_path(s, f"stored-{uuid.uuid4().hex}")
+
+    def as_csv(s, d):
+        path = f"{folder(s)}/csv"
+        # The file's columns stand in another order than the declared ones.
+        _L(s, d).select(*reversed(TXN_COLUMNS)).write.option("header", True).csv(path)
+        return path
+
+    cols = ", ".join(TXN_COLUMNS)
+    r["s1_typed_csv"] = (lambda s, d: R.read_transactions_csv(s, as_csv(s, d)),
+                         with_ledger(f"SELECT {cols} FROM ledger"))
+    r["s2_inferred_csv_types"] = (
+        lambda s, d: R.load_raw(s, as_csv(s, d)).groupBy("type").agg(
+            F.count("*").alias("n"), F.max("amount").alias("max_amount")),
+        with_ledger("SELECT type, count(*) AS n, max(amount) AS max_amount FROM ledger GROUP BY type"))
+
+    def collection(s, d):
+        path = f"{folder(s)}/collection"
+        R.write_table(_L(s, d).withColumn("_id", F.col("txn_id")), path)
+        return R.read_collection(s, "", fmt="parquet", options={"path": path}).select(*TXN_COLUMNS)
+    r["s4_read_collection"] = (collection, with_ledger(f"SELECT {cols} FROM ledger"))
+
+    def loaded(s, d):
+        base = folder(s)
+        R.load_transactions(s, as_csv(s, d), f"{base}/transactions", f"{base}/fraud", f"{base}/staging")
+        # The second load finds rows and adds none.
+        R.load_transactions(s, as_csv(s, d), f"{base}/transactions", f"{base}/fraud", f"{base}/staging-2")
+        rows = s.read.parquet(f"{base}/transactions")
+        return rows.groupBy("type").agg(F.count("*").alias("n"), F.count_distinct("txn_id").alias("n_ids"),
+                                        F.max("amount").alias("max_amount"))
+    r["k3_loaded_by_type"] = (loaded, with_ledger(
+        "SELECT type, count(*) AS n, count(*) AS n_ids, max(amount) AS max_amount FROM ledger GROUP BY type"))
+
+    def result_table(name):
+        def run(s, d):
+            out = batch_job.run_analyses(s, _L(s, d), folder(s), export=name == "cleaned")
+            return R.load_processed(s, out[name])
+        return run
+    r["k1_stored_type_stats"] = (result_table("spark_type_stats"), r["a1_type_stats"][1])
+    r["k2_stored_export"] = (result_table("cleaned"), r["p4_cleaned_export"][1])
+    r["k5_stored_summary"] = (result_table("transaction_summary"), r["a2_transaction_summary"][1])
+
+
 # --- learning (no SQL twin: hash split, resampling, fitted models) -------------------
 def _resampled(spark, sf):
     from txnscope.learning import models as M
@@ -430,6 +506,14 @@ def _resampled(spark, sf):
     return materialize(smote(train, MODEL_FEATURES), "resampled"), test
 
 
+#: Test rows by largest remainder: t in all, t1 of them fraud.
+SPLIT_CTES = (
+    "n AS (SELECT count(*) AS n, count(*) FILTER (WHERE isFraud = 1) AS n1, "
+    "count(*) FILTER (WHERE isFraud = 0) AS n0 FROM ledger)",
+    "draws AS (SELECT *, CAST(ceil(n * CAST(0.2 AS DOUBLE)) AS BIGINT) AS t FROM n)",
+    "sides AS (SELECT *, (t * n1) // n + CASE WHEN (t * n1) % n > (t * n0) % n THEN 1 ELSE 0 END AS t1 FROM draws)")
+
+
 def _add_learning(r: dict) -> None:
     from pyspark.ml.functions import vector_to_array
 
@@ -442,7 +526,17 @@ def _add_learning(r: dict) -> None:
         return L.select("txn_id", "isFraud",
                         F.when(side, "test").otherwise("train").alias("side"))
     r["m1_split_sides"] = (split_sides, None)
-    r["m2_smote_training_set"] = (lambda s, d: _resampled(s, d)[0], None)
+    r["m1_split_counts"] = (
+        lambda s, d: split_sides(s, d).groupBy("isFraud", "side").agg(F.count("*").alias("n")),
+        _with(*SPLIT_CTES, body=(
+            "SELECT 1 AS isFraud, 'test' AS side, t1 AS n FROM sides UNION ALL "
+            "SELECT 1, 'train', n1 - t1 FROM sides UNION ALL SELECT 0, 'test', t - t1 FROM sides UNION ALL "
+            "SELECT 0, 'train', n0 - (t - t1) FROM sides")))
+    r["m2_class_counts"] = (
+        lambda s, d: _resampled(s, d)[0].groupBy("isFraud").agg(F.count("*").alias("n")),
+        _with(*SPLIT_CTES, body=(
+            "SELECT 0 AS isFraud, n0 - (t - t1) AS n FROM sides UNION ALL SELECT 1, "
+            "greatest(n1 - t1, CAST(floor(CAST(0.1 AS DOUBLE) * (n0 - (t - t1))) AS BIGINT)) FROM sides")))
 
     def scaled(s, d):
         from pyspark.ml.feature import StandardScaler, VectorAssembler

@@ -7,13 +7,14 @@ re-runs its tasks and the commit protocol keeps half-written files invisible.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txnscope.schema import TXN_COLUMNS, TXN_SCHEMA
 
 CORRUPT = "_corrupt_record"
+ROW_ID = "txn_id"
 
 
 def header_schema(spark: SparkSession, path: str, needed: list[str]) -> T.StructType:
@@ -36,7 +37,10 @@ def read_transactions_csv(spark: SparkSession, path: str,
                           columns: list[str] | None = None) -> DataFrame:
     """Typed CSV scan with declared types and column selection by header name;
     input splits (``spark.sql.files.maxPartitionBytes``) replace fixed-size
-    chunks.  A file whose header differs from the first one's raises."""
+    chunks.  A file whose header differs from the first one's raises.
+
+    The rows have no id; training, replay and sampling read the table that
+    ``load_transactions`` stores, where each row has one."""
     schema = header_schema(spark, path, columns or TXN_COLUMNS)
     df = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
     return df.select(*(columns or TXN_COLUMNS))
@@ -101,23 +105,25 @@ def split_valid(spark: SparkSession, csv_path: str,
     flag, and return (accepted, rejected, counts) over that staging table.
 
     One pass over the input; good rows survive bad ones (the bulk-insert
-    "keep going" behaviour), rejects keep their raw text, and the counts are
-    observed during the same write (one merge per successful task)."""
+    "keep going" behaviour), rejects keep their raw text, and the counts read
+    one column of the stored table.  (An ``Observation`` would save that read,
+    but a session that has used one can no longer serialise fitted models.)
+
+    Each row gets ``txn_id`` from its input split and place in it: a retried
+    task gives the same numbers, and the stored table fixes them."""
     schema = header_schema(spark, csv_path, TXN_COLUMNS).add(CORRUPT, T.StringType())
     raw = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
            .option("columnNameOfCorruptRecord", CORRUPT).csv(csv_path))
-    raw = nan_as_null(raw.select(*TXN_COLUMNS, CORRUPT))
+    raw = nan_as_null(raw.select(*TXN_COLUMNS, CORRUPT)).withColumn(ROW_ID, F.monotonically_increasing_id())
     bad = F.col(CORRUPT).isNotNull()
-    obs = Observation("load")
-    flagged = raw.withColumn("_rejected", bad.cast("int")).observe(
-        obs, F.count_if(~bad).alias("accepted"),
-        F.count_if(~bad & (F.col("isFraud") == 1)).alias("fraud"),
-        F.count_if(bad).alias("rejected"))
-    write_table(flagged, staging, partition_by=["_rejected"])
+    write_table(raw.withColumn("_rejected", bad.cast("int")), staging, partition_by=["_rejected"])
     staged = spark.read.parquet(staging)
+    counts = staged.agg(F.count_if(F.col("_rejected") == 0).alias("accepted"),
+                        F.count_if((F.col("_rejected") == 0) & (F.col("isFraud") == 1)).alias("fraud"),
+                        F.count_if(F.col("_rejected") == 1).alias("rejected")).first().asDict()
     accepted = staged.filter(F.col("_rejected") == 0).drop(CORRUPT, "_rejected")
     rejected = staged.filter(F.col("_rejected") == 1).select(CORRUPT)
-    return accepted, rejected, dict(obs.get)
+    return accepted, rejected, counts
 
 
 def load_transactions(spark: SparkSession, csv_path: str, transactions: str, fraud_cases: str,
