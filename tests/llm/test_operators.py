@@ -215,6 +215,27 @@ def test_fixed_text_is_template_without_an_article(spark):
     assert {r["text"] for r in got} == {f"Story {i}" for i in range(8)}
 
 
+def test_a_string_of_few_distinct_pages_is_no_template(spark):
+    rows = [(i, "http://x.com/", f"<div><h1>Site</h1><p>Story {i}</p></div>" + "<h2>only here</h2>" * (i == 3)) for i in range(8)]
+    rows += [(20 + i, "http://copies.com/", "<div><h1>Head</h1><p>Body</p></div>") for i in range(7)]
+    got = wrappers.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    text = {r["page_id"]: r["text"] for r in got}
+    assert text == {i: f"Story {i}" + "\nonly here" * (i == 3) for i in range(8)} | {20 + i: "Head\nBody" for i in range(7)}
+
+
+def test_long_streams_align_by_the_longest_subsequence():
+    r = np.random.default_rng(5)
+    for n, m in ((9, 7), (60, 80), (900, 700)):
+        a, b = (list(map(str, r.integers(0, 3, k))) for k in (n, m))
+        size = np.zeros((n + 1, m + 1), int)
+        for i in range(n):
+            for j in range(m):
+                size[i + 1, j + 1] = size[i, j] + 1 if a[i] == b[j] else max(size[i, j + 1], size[i + 1, j])
+        got = wrappers._common(a, b)
+        assert len(got) == size[n, m] and all(a[i] == b[j] for i, j in got)
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(got, got[1:]))
+
+
 # --- 6 packing
 def test_plan_is_best_fit_decreasing():
     r = np.random.default_rng(3)

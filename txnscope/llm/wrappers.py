@@ -33,7 +33,6 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
-from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -63,18 +62,22 @@ def beside(label: str) -> bool:
     return bool(more) and name not in ("html", "body") and MARKS.search("=" + more.rstrip("]")) is not None
 
 
-# --- wrappers: lists of nodes.  ["b", path, text or None] a text block; ["r", nodes] repeated; ["o", nodes] optional.
+# --- wrappers: lists of nodes.  ["b", path, text or None, n] a text block and on how many distinct pages it shows
+# this text; ["r", nodes] repeated; ["o", nodes] optional.
 
 def shape(nodes: list) -> str:
     """Nodes without their strings, repeats and options written out."""
     return "".join(f"<{n[1]}>" if n[0] == "b" else f"({shape(n[1])}){'+' if n[0] == 'r' else '?'}" for n in nodes)
 
 
-def _blend(a: list, b: list) -> list:
-    """Two nodes of one shape as one: differing strings become slots."""
+def _blend(a: list, b: list, apart: bool = False) -> list:
+    """Two nodes of one shape as one: differing strings become slots.
+
+    Pages add up only if the nodes are of pages ``apart``; within one stream a page may show a string twice."""
     if a[0] == "b":
-        return ["b", a[1], a[2] if a[2] == b[2] else None]
-    return [a[0], [_blend(x, y) for x, y in zip(a[1], b[1])]]
+        same = a[2] is not None and a[2] == b[2]
+        return ["b", a[1], a[2] if same else None, (a[3] + b[3] if apart else max(a[3], b[3])) if same else 0]
+    return [a[0], [_blend(x, y, apart) for x, y in zip(a[1], b[1])]]
 
 
 def fold(nodes: list, longest: int = 4) -> list:
@@ -118,7 +121,7 @@ def _merge(a: list, b: list) -> list:
                 break
             seen = seen[1][0]
         inner.append(seen[1] if seen[0] in "ro" else [seen])
-    body = [_merge(x, y) if shape([x]) != shape([y]) else _blend(x, y) for x, y in zip(*inner)]
+    body = [_merge(x, y) if shape([x]) != shape([y]) else _blend(x, y, True) for x, y in zip(*inner)]
     out = body[0] if len(body) == 1 and not kinds else None
     if "r" in kinds:
         out = ["r", body]
@@ -128,23 +131,26 @@ def _merge(a: list, b: list) -> list:
 
 
 def _common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
-    """Positions of a common subsequence: the longest, or for very long mismatches that of matching blocks."""
-    if len(a) * len(b) > 250_000:
-        return [(m.a + k, m.b + k) for m in SequenceMatcher(None, a, b).get_matching_blocks() for k in range(m.size)]
-    size = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i in range(len(a) - 1, -1, -1):
-        for j in range(len(b) - 1, -1, -1):
-            size[i][j] = size[i + 1][j + 1] + 1 if a[i] == b[j] else max(size[i + 1][j], size[i][j + 1])
-    out, i, j = [], 0, 0
-    while i < len(a) and j < len(b):
-        if a[i] == b[j]:
-            out.append((i, j))
-            i, j = i + 1, j + 1
-        elif size[i + 1][j] >= size[i][j + 1]:
-            i += 1
+    """Positions of a longest common subsequence, by one bit row of ``b`` for each of ``a``."""
+    where: dict[str, int] = {}
+    for j, x in enumerate(b):
+        where[x] = where.get(x, 0) | 1 << j
+    full = (1 << len(b)) - 1
+    row, rows = full, []
+    for x in a:
+        hit = row & where.get(x, 0)
+        row = ((row + hit) | (row - hit)) & full
+        rows.append(row)                              # a zero bit: one more in common than without this item of b
+    out, i, j = [], len(a), len(b)
+    while i and j:
+        if rows[i - 1] >> (j - 1) & 1:
+            j -= 1
+        elif i > 1 and not rows[i - 2] >> (j - 1) & 1:
+            i -= 1
         else:
-            j += 1
-    return out
+            i, j = i - 1, j - 1
+            out.append((i, j))
+    return out[::-1]
 
 
 def align(a: list, b: list) -> list:
@@ -176,22 +182,16 @@ def _mark(text: str) -> str:
 
 def page_nodes(page: str | None) -> list:
     """Folded nodes of a page; a text block carries its path and string."""
-    return fold([["b", "/".join(path), _mark(text)] for path, text in blocks(page or "")])
+    return fold([["b", "/".join(path), _mark(text), 1] for path, text in blocks(page or "")])
 
 
-def places(nodes: list, out: dict[str, dict] | None = None) -> dict[str, dict]:
-    """What the wrapper says of each path: slot or fixed string."""
-    out = {} if out is None else out
+def leaves(nodes: list) -> Iterator[list]:
+    """The text blocks of a wrapper, in order."""
     for n in nodes:
         if n[0] == "b":
-            got = out.setdefault(n[1], {"slot": False, "fixed": set()})
-            if n[2] is None:
-                got["slot"] = True
-            else:
-                got["fixed"].add(n[2])
+            yield n
         else:
-            places(n[1], out)
-    return out
+            yield from leaves(n[1])
 
 
 def host_of(url: Column) -> Column:
@@ -218,7 +218,7 @@ def _join(parts: Iterator[tuple[str, int]]) -> tuple[list, int]:
 
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper as JSON, pages) from all rows of ``pages`` (host, html)."""
+    """(host, wrapper as JSON, distinct pages) from all rows of ``pages`` (host, html); exact copies count once."""
     def per_partition(batches):
         found: dict[str, list] = {}
         for b in batches:
@@ -235,7 +235,7 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
         w, n = _join(zip(group["wrapper"], group["pages"]))
         return pd.DataFrame([(group["host"].iloc[0], json.dumps(w), n)], columns=["host", "wrapper", "pages"])
 
-    parts = pages.select("host", "html").mapInPandas(per_partition, WRAPPER)
+    parts = pages.select("host", "html").distinct().mapInPandas(per_partition, WRAPPER)
     first = parts.groupBy("host", F.pmod(F.xxhash64("wrapper"), F.lit(64)).alias("salt")) \
         .applyInPandas(together, WRAPPER)
     return first.groupBy("host").applyInPandas(together, WRAPPER)
@@ -244,10 +244,10 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
 class Reader:
     """Reads main text with one host's wrapper."""
 
-    def __init__(self, wrapper: str | None, pages: int, min_pages: int):
-        known = places(json.loads(wrapper)) if wrapper else {}
-        self.has_main = any(self._main_at(p.split("/")) is not None and not self._beside(p.split("/")) for p in known)
-        self.template = {(p, s) for p, x in known.items() for s in x["fixed"]} if pages >= min_pages else set()
+    def __init__(self, wrapper: str | None, min_pages: int):
+        known = list(leaves(json.loads(wrapper))) if wrapper else []
+        self.has_main = any(self._main_at(p) is not None and not self._beside(p) for p in {tuple(n[1].split("/")) for n in known})
+        self.template = {(n[1], n[2]) for n in known if n[2] is not None and n[3] >= min_pages}
         self.memo: dict[tuple[str, ...], bool | None] = {}
 
     @staticmethod
@@ -289,11 +289,11 @@ def extract(pages: DataFrame, min_pages: int = 5) -> DataFrame:
         readers: dict[str, Reader] = {}
         for b in batches:
             out = []
-            for host, w, n, page in zip(b["host"], b["wrapper"], b["pages"], b["html"]):
+            for host, w, page in zip(b["host"], b["wrapper"], b["html"]):
                 if host not in readers:
                     if len(readers) >= 1000:
                         readers.clear()
-                    readers[host] = Reader(w, int(n or 0), min_pages)
+                    readers[host] = Reader(w, min_pages)
                 out.append(readers[host].read(page))
             yield pd.DataFrame({"page_id": b["page_id"], "url": b["url"], "text": out})
     schema = f"page_id {dict(rows.dtypes)['page_id']}, url string, text string"
