@@ -425,3 +425,13 @@ def test_line_filter_on_clashing_and_empty_tables(docs, empty):
 def test_blocks_supply_left_out_closing_tags():
     got = list(html_tokens.blocks("<div><p>a<p>b<ul><li>c<li>d</ul>e<!-- <p>x</p> --></div>"))
     assert [t for _, t in got] == ["a", "b", "c", "d", "e"]
+
+
+def test_embedded_elements_hide_no_text():
+    page = ("<article><p>a <svg class=icon/> b <math><mi>x</mi><mo>=</mo><mn>1</mn></math></p><object data=o><p>other</p>"
+            "<canvas>c</canvas><object-view>d</object-view><style-guide>e</style-guide><p>f<math/>g</p>"
+            "<iframe title='>' src='/in'>raw</iframe><script>var a='</p>';</script><p>end</p></article>")
+    assert [t for _, t in html_tokens.blocks(page)] == ["a b x=1", "other", "c", "d", "e", "fg", "end"]
+    assert warc.links(page) == ["iframe@src /in"]
+    got = {r[0]: r[-1] for r in warc.derive("r", "u", None, "HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + page, None, None, "s")}
+    assert got["conversion"].endswith("fg\nend") and "outlink: iframe@src /in" in got["metadata"]

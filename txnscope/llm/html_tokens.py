@@ -7,10 +7,18 @@ import re
 from collections.abc import Iterator
 
 #: Elements whose content is no text of the page.
-RAW = ("script", "style", "noscript", "template", "textarea", "svg", "iframe", "object", "math", "canvas")
+RAW = ("script", "style", "noscript", "template", "textarea", "iframe")
+#: Embedded elements and those of formulas and drawings, read like inline ones: they end no block and
+#: need no closing tag, so a self-closed or unclosed one hides nothing.
+EMBEDDED = frozenset(
+    "svg math object canvas maction maligngroup malignmark menclose merror mfenced mfrac mi mlabeledtr mmultiscripts mn "
+    "mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder "
+    "munderover none semantics annotation annotation-xml g defs symbol use path rect circle ellipse line polyline polygon "
+    "text tspan textpath image marker mask pattern clippath filter lineargradient radialgradient stop desc view switch "
+    "foreignobject animate animatetransform animatemotion set mpath param".split())
 #: Elements that do not end a block of text.
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark "
-                   "nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+                   "nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()) | EMBEDDED
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that an opening tag of the same kind ends where the closing tag is left out.
 SELF_CLOSING = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
@@ -22,7 +30,7 @@ ENDS_P = frozenset("address article aside blockquote details div dl fieldset fig
 _RAW = "|".join(RAW)
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<({_RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    rf"|<({_RAW})(?=[\s/>])((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>|[^>]*>).*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S | re.I)
@@ -30,18 +38,22 @@ ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, str]]:
-    """('text', raw text, ''), ('open', name, attributes) and ('close', name, '') in page order."""
+    """('text', raw text, ''), ('open', name, attributes) and ('close', name, '') in page order; raw elements without
+    their content."""
     at = 0
     for m in TOKEN.finditer(page):
         if m.start() > at:
             yield "text", page[at:m.start()], ""
         at = m.end()
-        name = m.group(3) or m.group(6)
-        if name:
-            if m.group(2) or m.group(5):
+        name = m.group(4) or m.group(7)
+        if m.group(1):
+            yield "open", m.group(1).lower(), m.group(2)[:-1]
+            yield "close", m.group(1).lower(), ""
+        elif name:
+            if m.group(3) or m.group(6):
                 yield "close", name.lower(), ""
             else:
-                yield "open", name.lower(), m.group(4) or m.group(7) or ""
+                yield "open", name.lower(), m.group(5) or m.group(8) or ""
     if at < len(page):
         yield "text", page[at:], ""
 
@@ -72,7 +84,7 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str]]:
     for kind, a, b in tokens(page):
         if kind == "text":
             held.append(a)
-        elif a in INLINE:
+        elif a in INLINE or a in RAW:
             if a == "br":
                 held.append(" ")
         else:
@@ -82,7 +94,7 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str]]:
                 ends = SELF_CLOSING.get(a, ()) + (("p",) if a in ENDS_P else ())
                 if names and names[-1] in ends:
                     names.pop(), labels.pop()
-                if a not in VOID:
+                if a not in VOID and not (a == "title" and b.endswith("/")):
                     names.append(a)
                     labels.append(label(a, b))
             elif a in names:
