@@ -236,6 +236,18 @@ def test_long_streams_align_by_the_longest_subsequence():
         assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(got, got[1:]))
 
 
+def test_template_inside_an_article_goes_by_its_place(spark):
+    rows = []
+    for i in range(12):
+        body = "".join(f"<p>Text {i}-{k}</p>" for k in range(1 + i % 3)) + ("<p>Story of the day</p><p>more</p>" if i == 3 else "")
+        notice = "<p>All rights reserved</p>" if i % 4 else ""
+        rows.append((i, "http://n.com/", f"<article><p>Story of the day</p><div>By the desk</div>{body}<p>Share this</p>{notice}</article>"))
+    got = wrappers.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    for r in got:
+        i = r["page_id"]
+        assert r["text"].split("\n") == [f"Text {i}-{k}" for k in range(1 + i % 3)] + ["Story of the day", "more"] * (i == 3)
+
+
 # --- 6 packing
 def test_plan_is_best_fit_decreasing():
     r = np.random.default_rng(3)

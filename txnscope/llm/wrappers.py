@@ -2,25 +2,28 @@
 
 A page is a stream of nodes: block-level tags and text.  Wrapper inference:
 
+* Strings that stand at one path on at least ``min_pages`` distinct pages of a
+  host, and on half of the host's pages that have the path, are its anchors.
+  They are counted over all pages (exact copies of a page once).
 * A page's stream is first folded: a run of equal neighbouring groups (list
-  items, paragraphs) becomes one repeated group ``( ... )+``; text strings are
-  not compared, so groups that differ in text only are equal.
-* Wrappers of one host are aligned two by two.  Equal nodes stay; a text that
-  differs becomes a slot; where the streams mismatch, a group that goes on a
-  run of the other side becomes repeated, and what only one side has becomes
-  an optional group ``( ... )?``.  The result is again such an expression, so
-  alignment goes on with page after page, in any order.
+  items, paragraphs) becomes one repeated group ``( ... )+``.  An anchor equals
+  the same anchor only; of other text blocks the strings are not compared.
+* Wrappers of one host are aligned two by two.  Equal nodes stay; where the
+  streams mismatch, a group that goes on a run of the other side becomes
+  repeated, and what only one side has becomes an optional group ``( ... )?``.
+  The result is again such an expression, so alignment goes on with page after
+  page, in any order.  So anchors are the fixed nodes, all other text is a slot.
 * Each partition of pages aligns its own pages host by host, then partial
   wrappers are aligned in two rounds of bounded groups.  A hot host therefore
   gives one small row per partition, and all pages take part.
 
-The wrapper says, for each place (path of elements), whether its text is fixed
-on the host or a slot, and on how many pages it is.  Main text is read with it:
-places under menus, headers, footers, sidebars, notices, adverts, forms and
-comments are left out, by element and by class, id or role; within the rest the
-main region is the host's ``article`` or ``main`` element, or, on hosts without
-one, all slots (fixed text repeated on at least ``min_pages`` different pages is
-template).
+Reading, on every host: a page is matched against its host's wrapper.  What
+falls on a fixed node that at least ``min_pages`` distinct pages show at that
+place is left out; text in slots, repeated or not, and strings that fewer pages
+show there are taken.  Tags and classes are a check after it: places under
+menus, headers, footers, sidebars, notices, adverts, forms and comments are left
+out, by element and by class, id or role, and on hosts with an ``article`` or
+``main`` element what lies outside of it.
 
 Edge cases: null html and null urls give an empty text / the host ''; cut-off
 pages and unclosed elements are read as far as they go; repeated rows are
@@ -62,25 +65,26 @@ def beside(label: str) -> bool:
     return bool(more) and name not in ("html", "body") and MARKS.search("=" + more.rstrip("]")) is not None
 
 
-# --- wrappers: lists of nodes.  ["b", path, text or None, n] a text block and on how many distinct pages it shows
-# this text; ["r", nodes] repeated; ["o", nodes] optional.
+# --- wrappers: lists of nodes.  ["b", path, text or None, pages, anchor] a text block, distinct pages (hashes, as many
+# as are asked for) that show this text in it, and if the text counts where nodes are compared; ["r", nodes] repeated;
+# ["o", nodes] optional.
+#: Default: distinct pages from which on a string is template.
+MIN_PAGES = 5
 
 def shape(nodes: list) -> str:
     """Nodes without their strings, repeats and options written out."""
-    return "".join(f"<{n[1]}>" if n[0] == "b" else f"({shape(n[1])}){'+' if n[0] == 'r' else '?'}" for n in nodes)
+    return "".join((f"<{n[1]}={n[2].replace(chr(60), chr(0))}>" if n[4] else f"<{n[1]}>") if n[0] == "b" else f"({shape(n[1])}){'+' if n[0] == 'r' else '?'}" for n in nodes)
 
 
-def _blend(a: list, b: list, apart: bool = False) -> list:
-    """Two nodes of one shape as one: differing strings become slots.
-
-    Pages add up only if the nodes are of pages ``apart``; within one stream a page may show a string twice."""
+def _blend(a: list, b: list, most: int = MIN_PAGES) -> list:
+    """Two nodes of one shape as one: differing strings become slots."""
     if a[0] == "b":
         same = a[2] is not None and a[2] == b[2]
-        return ["b", a[1], a[2] if same else None, (a[3] + b[3] if apart else max(a[3], b[3])) if same else 0]
-    return [a[0], [_blend(x, y, apart) for x, y in zip(a[1], b[1])]]
+        return ["b", a[1], a[2] if same else None, sorted({*a[3], *b[3]})[:most] if same else [], a[4]]
+    return [a[0], [_blend(x, y, most) for x, y in zip(a[1], b[1])]]
 
 
-def fold(nodes: list, longest: int = 4) -> list:
+def fold(nodes: list, longest: int = 4, most: int = MIN_PAGES) -> list:
     """Runs of equal neighbouring groups of up to ``longest`` nodes as repeated groups."""
     out = nodes
     for width in range(1, longest + 1):
@@ -93,7 +97,7 @@ def fold(nodes: list, longest: int = 4) -> list:
             if j > i + width:
                 group = [list(n) for n in out[i:i + width]]
                 for k in range(i + width, j, width):
-                    group = [_blend(a, b) for a, b in zip(group, out[k:k + width])]
+                    group = [_blend(a, b, most) for a, b in zip(group, out[k:k + width])]
                 nxt.append(group[0] if width == 1 and group[0][0] == "r" else ["r", group])
                 i = j
             else:
@@ -110,7 +114,7 @@ def _bare(node: list) -> str:
     return shape(node[1]) if node[0] in "ro" else shape([node])
 
 
-def _merge(a: list, b: list) -> list:
+def _merge(a: list, b: list, most: int) -> list:
     """Nodes of one bare shape as one; it repeats or may be missing if either does."""
     inner, kinds = [], ""
     for n in (a, b):
@@ -121,7 +125,7 @@ def _merge(a: list, b: list) -> list:
                 break
             seen = seen[1][0]
         inner.append(seen[1] if seen[0] in "ro" else [seen])
-    body = [_merge(x, y) if shape([x]) != shape([y]) else _blend(x, y, True) for x, y in zip(*inner)]
+    body = [_merge(x, y, most) if shape([x]) != shape([y]) else _blend(x, y, most) for x, y in zip(*inner)]
     out = body[0] if len(body) == 1 and not kinds else None
     if "r" in kinds:
         out = ["r", body]
@@ -153,7 +157,7 @@ def _common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def align(a: list, b: list) -> list:
+def align(a: list, b: list, most: int = MIN_PAGES) -> list:
     """The expression both wrappers match: a longest common subsequence of nodes, the rest optional."""
     ka, kb = [_bare(n) for n in a], [_bare(n) for n in b]
     lead = 0
@@ -164,15 +168,15 @@ def align(a: list, b: list) -> list:
         tail += 1
     ma, mb = a[lead:len(a) - tail], b[lead:len(b) - tail]
     xa, xb = ka[lead:len(a) - tail], kb[lead:len(b) - tail]
-    out = [_merge(x, y) for x, y in zip(a[:lead], b[:lead])]
+    out = [_merge(x, y, most) for x, y in zip(a[:lead], b[:lead])]
     i = j = 0
     for u, v in [*_common(xa, xb), (len(ma), len(mb))]:
         out += [n if n[0] == "o" else ["o", [n]] for n in (*ma[i:u], *mb[j:v])]
         if u < len(ma):
-            out.append(_merge(ma[u], mb[v]))
+            out.append(_merge(ma[u], mb[v], most))
         i, j = u + 1, v + 1
-    out += [_merge(x, y) for x, y in zip(a[len(a) - tail:], b[len(b) - tail:])] if tail else []
-    return fold(out)
+    out += [_merge(x, y, most) for x, y in zip(a[len(a) - tail:], b[len(b) - tail:])] if tail else []
+    return fold(out, most=most)
 
 
 def _mark(text: str) -> str:
@@ -180,9 +184,48 @@ def _mark(text: str) -> str:
     return text if len(text) <= 160 else hashlib.sha1(text.encode("utf-8", "surrogatepass")).hexdigest()
 
 
-def page_nodes(page: str | None) -> list:
-    """Folded nodes of a page; a text block carries its path and string."""
-    return fold([["b", "/".join(path), _mark(text), 1] for path, text in blocks(page or "")])
+def _hash(text: str) -> int:
+    """64-bit hash, for columns and counts."""
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def page_nodes(page: str | None, anchors: frozenset[int] | None = None) -> list:
+    """Folded nodes of a page; a text block carries its path and string.  With ``anchors`` other strings are slots."""
+    seen, out = [_hash(page or "")], []
+    for path, text in blocks(page or ""):
+        at, text = "/".join(path), _mark(text)
+        fixed = anchors is not None and _hash(f"{at}\0{text}") in anchors
+        out.append(["b", at, text, seen, fixed] if fixed or anchors is None else ["b", at, None, [], False])
+    return fold(out)
+
+
+def anchor_strings(pages: DataFrame, min_pages: int) -> DataFrame:
+    """(host, anchors): hashes of the strings on ``min_pages`` distinct pages and half of those with their path."""
+    def work(batches):
+        for b in batches:
+            out = []
+            for host, page in zip(b["host"], b["html"]):
+                found, page_hash = set(), _hash(page or "")
+                for path, text in blocks(page or ""):
+                    at = "/".join(path)
+                    found |= {(_hash(at), None), (_hash(at), _hash(f"{at}\0{_mark(text)}"))}
+                out += [(host, page_hash, a, k) for a, k in found]
+                if len(out) >= 200_000:
+                    yield _frame(out)
+                    out = []
+            if out:
+                yield _frame(out)
+
+    def _frame(out):
+        frame = pd.DataFrame(out, columns=["host", "page", "path", "string"], dtype=object)
+        return frame.astype({"page": "int64", "path": "int64"}).assign(string=frame["string"].astype("Int64"))
+
+    rows = pages.select("host", "html").mapInPandas(work, "host string, page bigint, path bigint, string bigint").distinct()
+    counts = materialize(rows.groupBy("host", "path", "string").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages),
+                         "wrapper-strings")
+    there = counts.where("string is null").select("host", "path", F.col("n").alias("of"))
+    return counts.where("string is not null").join(there, ["host", "path"]).where(F.col("n") * 2 >= F.col("of")) \
+        .groupBy("host").agg(F.sort_array(F.collect_list("string")).alias("anchors"))
 
 
 def leaves(nodes: list) -> Iterator[list]:
@@ -205,7 +248,7 @@ def host_of(url: Column) -> Column:
 WRAPPER = "host string, wrapper string, pages bigint"
 
 
-def _join(parts: Iterator[tuple[str, int]]) -> tuple[list, int]:
+def _join(parts: Iterator[tuple[str, int]], most: int) -> tuple[list, int]:
     """Aligns wrappers one after the other; equal ones only count."""
     seen: dict[str, int] = {}
     for text, n in parts:
@@ -213,41 +256,93 @@ def _join(parts: Iterator[tuple[str, int]]) -> tuple[list, int]:
     whole: list | None = None
     for text in sorted(seen):
         w = json.loads(text)
-        whole = w if whole is None else align(whole, w)
+        whole = w if whole is None else align(whole, w, most)
     return whole or [], sum(seen.values())
 
 
-def infer_wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper as JSON, distinct pages) from all rows of ``pages`` (host, html); exact copies count once."""
+def infer_wrappers(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """(host, wrapper as JSON, rows) from all rows of ``pages`` (host, html)."""
+    anchored = materialize(anchor_strings(pages, min_pages), "wrapper-anchors")
+
     def per_partition(batches):
         found: dict[str, list] = {}
+        known: dict[str, frozenset[int]] = {}
         for b in batches:
-            for host, page in zip(b["host"], b["html"]):
-                nodes = page_nodes(page)
+            for host, page, anchors in zip(b["host"], b["html"], b["anchors"]):
+                if host not in known:
+                    known[host] = frozenset(() if anchors is None else (int(x) for x in anchors))
+                nodes = page_nodes(page, known[host])
                 got = found.get(host)
                 if got is None:
                     found[host] = [nodes, 1]
                 else:
-                    got[0], got[1] = align(got[0], nodes), got[1] + 1
+                    got[0], got[1] = align(got[0], nodes, min_pages), got[1] + 1
         yield pd.DataFrame([(h, json.dumps(w), n) for h, (w, n) in found.items()], columns=["host", "wrapper", "pages"])
 
     def together(group: pd.DataFrame) -> pd.DataFrame:
-        w, n = _join(zip(group["wrapper"], group["pages"]))
+        w, n = _join(zip(group["wrapper"], group["pages"]), min_pages)
         return pd.DataFrame([(group["host"].iloc[0], json.dumps(w), n)], columns=["host", "wrapper", "pages"])
 
-    parts = pages.select("host", "html").distinct().mapInPandas(per_partition, WRAPPER)
+    parts = pages.select("host", "html").join(anchored, "host", "left").mapInPandas(per_partition, WRAPPER)
     first = parts.groupBy("host", F.pmod(F.xxhash64("wrapper"), F.lit(64)).alias("salt")) \
         .applyInPandas(together, WRAPPER)
     return first.groupBy("host").applyInPandas(together, WRAPPER)
 
 
+class Matcher:
+    """Finds the nodes of a wrapper that the text blocks of a page fall on."""
+
+    def __init__(self, nodes: list):
+        self.leaves: list[list] = []
+        self.back: list[int] = []                    # last leaf of the outermost repeated group around a leaf
+        self._walk(nodes, False)
+        self.at: dict[tuple[str, str | None], list[int]] = {}
+        for k, n in enumerate(self.leaves):
+            self.at.setdefault((n[1], n[2] if n[4] else None), []).append(k)
+
+    def _walk(self, nodes: list, repeated: bool) -> None:
+        for n in nodes:
+            if n[0] == "b":
+                self.back.append(len(self.leaves))
+                self.leaves.append(n)
+            else:
+                start = len(self.leaves)
+                self._walk(n[1], repeated or n[0] == "r")
+                if n[0] == "r" and not repeated:
+                    self.back[start:] = [len(self.leaves)] * (len(self.leaves) - start)
+
+    def match(self, items: list[tuple[str, str | None]]) -> list[int]:
+        """The leaf of each item, -1 where none: as many items as can be matched in the order of the expression."""
+        best: list[int] = [0] * (len(self.leaves) + 1)          # items matched so far, the last on leaf k - 1
+        links: list[tuple | None] = [None] * len(best)
+        for i, item in enumerate(items):
+            new = []
+            for k in self.at.get(item, ()):
+                upto = max(k, self.back[k]) + 1                 # leaves before this one, or of its repeated group
+                n = max(best[:upto])
+                new.append((k + 1, n + 1, (i, k, links[best.index(n, 0, upto)])))
+            for k, n, link in new:
+                if n > best[k]:
+                    best[k], links[k] = n, link
+        out, link = [-1] * len(items), links[best.index(max(best))]
+        while link:
+            out[link[0]], link = link[1], link[2]
+        return out
+
+
 class Reader:
     """Reads main text with one host's wrapper."""
 
     def __init__(self, wrapper: str | None, min_pages: int):
-        known = list(leaves(json.loads(wrapper))) if wrapper else []
+        self.matcher, self.min_pages = Matcher(json.loads(wrapper) if wrapper else []), min_pages
+        known = self.matcher.leaves
         self.has_main = any(self._main_at(p) is not None and not self._beside(p) for p in {tuple(n[1].split("/")) for n in known})
-        self.template = {(n[1], n[2]) for n in known if n[2] is not None and n[3] >= min_pages}
+        # Each string that is an anchor: True or False if it is template at all or at none of its places, else None.
+        self.anchors: dict[tuple[str, str], bool | None] = {}
+        for n in known:
+            if n[4]:
+                fixed, key = len(n[3]) >= min_pages, (n[1], n[2])
+                self.anchors[key] = fixed if self.anchors.get(key, fixed) is fixed else None
         self.memo: dict[tuple[str, ...], bool | None] = {}
 
     @staticmethod
@@ -269,21 +364,33 @@ class Reader:
             self.memo[path] = False if self._beside(path) else (True if self._main_at(path) is not None else None)
         return self.memo[path]
 
+    def free(self, found: list[tuple[tuple[str, ...], str]]) -> list[bool]:
+        """Which text blocks of a page fall on slots, or on strings that too few pages show at that place."""
+        items = [("/".join(path), _mark(text)) for path, text in found]
+        items = [x if x in self.anchors else (x[0], None) for x in items]
+        fixed = [False if x[1] is None else self.anchors[x] for x in items]
+        if None in fixed:                            # only then places matter
+            leaves = self.matcher.leaves
+            on = self.matcher.match(items)
+            fixed = [k >= 0 and len(leaves[k][3]) >= self.min_pages if f is None else f for f, k in zip(fixed, on)]
+        return [not f for f in fixed]
+
     def read(self, page: str | None) -> str:
         inside, outside = [], []
-        for path, text in blocks(page or ""):
-            w = self.wanted(path)
+        found = list(blocks(page or ""))
+        for (path, text), free in zip(found, self.free(found)):
+            w = self.wanted(path) if free else False
             if w:
                 inside.append(text)
-            elif w is None and not self.has_main and ("/".join(path), _mark(text)) not in self.template:
+            elif w is None and not self.has_main:
                 outside.append(text)
         return "\n".join(inside or outside)
 
 
-def extract(pages: DataFrame, min_pages: int = 5) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """page_id, url, text (main text, '' if none) for every row of ``pages`` (page_id, url, html)."""
     rows = pages.select("page_id", "url", F.col("html").cast("string").alias("html"), host_of(F.col("url")).alias("host"))
-    wrappers = materialize(infer_wrappers(rows), "wrappers")
+    wrappers = materialize(infer_wrappers(rows, min_pages), "wrappers")
 
     def read(batches):
         readers: dict[str, Reader] = {}
