@@ -248,6 +248,18 @@ def test_template_inside_an_article_goes_by_its_place(spark):
         assert r["text"].split("\n") == [f"Text {i}-{k}" for k in range(1 + i % 3)] + ["Story of the day", "more"] * (i == 3)
 
 
+def test_marks_are_whole_names_and_never_reject_the_article(spark):
+    inner = "<header class='entry-header'><h1>T%d</h1></header><p>Body %d</p><div class='share'>Share %d</div>"
+    forms = ["<div class='layout has-sidebar'><article>%s</article></div>", "<main class='no-sidebar'>%s</main>",
+             "<article class='post comments-open'>%s</article>", "<div id='search-results'><main>%s</main></div>",
+             "<div class='with-header'><article>%s</article></div>", "<form id=f><main>%s</main></form>",
+             "<article>%s</article><section id=comments><article><p>Reply</p></article></section>",
+             "<article class='related'>%s</article>"]
+    rows = [(10 * k + i, f"http://m{k}.com/", f % (inner % (i, i, i))) for k, f in enumerate(forms) for i in range(6)]
+    got = wrappers.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert all(r["text"] == "T{0}\nBody {0}".format(r["page_id"] % 10) for r in got) and len(got) == len(rows)
+
+
 # --- 6 packing
 def test_plan_is_best_fit_decreasing():
     r = np.random.default_rng(3)

@@ -22,7 +22,9 @@ falls on a fixed node that at least ``min_pages`` distinct pages show at that
 place is left out; text in slots, repeated or not, and strings that fewer pages
 show there are taken.  Tags and classes are a check after it: places under
 menus, headers, footers, sidebars, notices, adverts, forms and comments are left
-out, by element and by class, id or role, and on hosts with an ``article`` or
+out, by element and by whole class, id or role (an article or main element is
+never left out for its own marks or for those around it, only read after the
+unmarked ones: where a page has no other), and on hosts with an ``article`` or
 ``main`` element what lies outside of it.
 
 Edge cases: null html and null urls give an empty text / the host ''; cut-off
@@ -48,21 +50,34 @@ from txnscope.session import materialize
 BOILERPLATE = frozenset("head title nav menu header footer aside form button select option fieldset legend dialog "
                         "script style noscript template label".split())
 MAIN = frozenset(("article", "main"))
-#: Words in a class, id or role that mark text beside the main text.
+#: Words of a class, id or role that mark text beside the main text.
 MARKS = re.compile(
-    r"(?:^|[\s_\-=;])(?:ads?|advert\w*|advertising|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice\w*|alert|popup|"
-    r"modal|overlay|newsletter|subscribe|subscription|signup|login|nav|navbar|navigation|menu\w*|breadcrumbs?|header|footer|"
-    r"masthead|sidebar\w*|side-?bar|aside|rail|widget\w*|related|recommended|share|sharing|social|comments?|commentlist|"
-    r"replies|reply|disqus|discussion|respond|form|search|toolbar|skip-link|complementary|contentinfo|hidden)(?=$|[\s_\-;\]])")
+    r"(?:ads?|advert\w*|advertising|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice\w*|alert|popup|modal|overlay|"
+    r"newsletter|subscribe|subscription|signup|login|nav|navbar|navigation|menu\w*|breadcrumbs?|header|footer|masthead|"
+    r"sidebar\w*|aside|rail|widget\w*|related|recommended|share|sharing|social|comments?|commentlist|replies|reply|disqus|"
+    r"discussion|respond|form|search|toolbar|complementary|contentinfo|hidden)\Z")
+#: Names that are marks as a whole, and words that may stand beside a mark in one name (site-header).
+NAMES = frozenset(("side-bar", "skip-link"))
+PLAIN = frozenset("site main page top bottom left right list links link box bar block section area container wrapper "
+                  "buttons button posts post items item".split())
+
+
+def marked(name: str) -> bool:
+    """Does this class, id or role mark text beside the main text?  Every part must be a mark or plain: not no-sidebar."""
+    if name in NAMES:
+        return True
+    parts = [x for x in re.split(r"[-_]+", name) if x]
+    marks = [MARKS.match(x) is not None for x in parts]
+    return any(marks) and all(m or x in PLAIN for m, x in zip(marks, parts))
 
 
 def beside(label: str) -> bool:
-    """Is an element with this label outside of the main text?"""
+    """Is an element with this label outside of the main text?  What holds article or main is decided by the caller."""
     name, _, more = label.partition("[")
     if name in BOILERPLATE:
-        # A header inside an article is decided by the caller, which sees the path.
         return True
-    return bool(more) and name not in ("html", "body") and MARKS.search("=" + more.rstrip("]")) is not None
+    names = (x for part in more[:-1].split(";") for x in part.rpartition("=")[2].split())
+    return bool(more) and name not in ("html", "body") and any(map(marked, names))
 
 
 # --- wrappers: lists of nodes.  ["b", path, text or None, pages, anchor] a text block, distinct pages (hashes, as many
@@ -330,38 +345,40 @@ class Matcher:
         return out
 
 
+#: Where a path lies: in article or main; in one that has or is in an element with a mark, read where a page has no
+#: other; outside, read on hosts without article and main; in an element that holds no main text.
+MAIN_TEXT, DOUBTFUL, OUTSIDE, NEVER = range(4)
+
+
 class Reader:
     """Reads main text with one host's wrapper."""
 
     def __init__(self, wrapper: str | None, min_pages: int):
         self.matcher, self.min_pages = Matcher(json.loads(wrapper) if wrapper else []), min_pages
+        self.memo: dict[tuple[str, ...], int] = {}
         known = self.matcher.leaves
-        self.has_main = any(self._main_at(p) is not None and not self._beside(p) for p in {tuple(n[1].split("/")) for n in known})
+        self.has_main = any(self.region(p) in (MAIN_TEXT, DOUBTFUL) for p in {tuple(n[1].split("/")) for n in known})
         # Each string that is an anchor: True or False if it is template at all or at none of its places, else None.
         self.anchors: dict[tuple[str, str], bool | None] = {}
         for n in known:
             if n[4]:
                 fixed, key = len(n[3]) >= min_pages, (n[1], n[2])
                 self.anchors[key] = fixed if self.anchors.get(key, fixed) is fixed else None
-        self.memo: dict[tuple[str, ...], bool | None] = {}
 
     @staticmethod
-    def _main_at(path) -> int | None:
-        return next((i for i, e in enumerate(path) if e.partition("[")[0] in MAIN or "role=main" in e), None)
-
-    def _beside(self, path) -> bool:
-        inside = False
-        for e in path:
-            name = e.partition("[")[0]
-            if beside(e) and not (inside and name == "header" and "[" not in e):
-                return True                      # an article's own plain header holds its title
-            inside = inside or name in MAIN
-        return False
-
-    def wanted(self, path: tuple[str, ...]) -> bool | None:
-        """True: main region; None: outside of it, main only on hosts without one; False: never."""
+    def _region(path: tuple[str, ...]) -> int:
+        at = [i for i, e in enumerate(path) if e.partition("[")[0] in MAIN or "role=main" in e]
+        if not at:
+            return NEVER if any(map(beside, path)) else OUTSIDE
+        inner = path[at[-1] + 1:]
+        # An article's own header holds its title, whatever its class.
+        if any(beside(e) and e.partition("[")[0] != "header" for e in inner):
+            return NEVER
+        return DOUBTFUL if any(map(beside, path[:at[-1] + 1])) else MAIN_TEXT
+
+    def region(self, path: tuple[str, ...]) -> int:
         if path not in self.memo:
-            self.memo[path] = False if self._beside(path) else (True if self._main_at(path) is not None else None)
+            self.memo[path] = self._region(path)
         return self.memo[path]
 
     def free(self, found: list[tuple[tuple[str, ...], str]]) -> list[bool]:
@@ -376,15 +393,12 @@ class Reader:
         return [not f for f in fixed]
 
     def read(self, page: str | None) -> str:
-        inside, outside = [], []
         found = list(blocks(page or ""))
+        got: dict[int, list[str]] = {}
         for (path, text), free in zip(found, self.free(found)):
-            w = self.wanted(path) if free else False
-            if w:
-                inside.append(text)
-            elif w is None and not self.has_main:
-                outside.append(text)
-        return "\n".join(inside or outside)
+            if free:
+                got.setdefault(self.region(path), []).append(text)
+        return "\n".join(got.get(MAIN_TEXT) or got.get(DOUBTFUL) or (not self.has_main and got.get(OUTSIDE)) or ())
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
