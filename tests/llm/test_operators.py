@@ -440,6 +440,16 @@ def test_frequent_lines_go_and_depleted_documents_are_rejected(spark, rows):
     assert all(got[200 + i]["kept"] and got[200 + i]["n_removed_lines"] == 0 for i in range(60))
 
 
+@pytest.mark.parametrize("rows", [0, 100_000])
+def test_the_limit_of_a_line_does_not_rise_with_the_source(spark, rows):
+    for n in (40, 2500):
+        data = [(i, "\n".join([prose(i, 30)] + ["Licensed under CC"] * (i < 11) + ["Rare line"] * (i < 10)), "s") for i in range(n)]
+        df = spark.createDataFrame(data, "doc_id bigint, text string, source string")
+        got = line_frequency.filter_lines(df, broadcast_rows=rows).where("n_removed_lines > 0").select("doc_id", "clean_text").collect()
+        assert {r["doc_id"] for r in got} == set(range(11)) and not any("Licensed" in r["clean_text"] for r in got)
+        assert sum("Rare line" in r["clean_text"] for r in got) == 10
+
+
 def test_line_filter_on_clashing_and_empty_tables(docs, empty):
     plain = docs.drop("kept")
     assert line_frequency.filter_lines(plain).count() == len(TEXTS)

@@ -3,8 +3,7 @@
 Every line is normalised (A-Z lower-cased, digits 1-9 as 0, white space at the
 ends cut) and hashed.  For each host the number of *distinct texts* holding a
 line is counted, so exact copies count once.  A line found in more than
-``max(min_texts, share * texts of the host)`` of them is boilerplate and is
-removed.  A document is depleted, and rejected, when boilerplate was removed
+``min_texts`` of them is boilerplate and is removed, however large the host is.  A document is depleted, and rejected, when boilerplate was removed
 and fewer than ``min_words`` words or less than ``min_left`` of its words stay.
 
 Only (host, text hash, line hash) rows and partial counts are shuffled, never
@@ -83,26 +82,22 @@ def _host(col: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(col).cast("string")), F.lit("null"))
 
 
-def frequent_lines(docs: DataFrame, text: str, host: str, min_texts: int, share: float) -> DataFrame:
-    """(host, line_hash) of the lines above their host's limit."""
+def frequent_lines(docs: DataFrame, text: str, host: str, min_texts: int) -> DataFrame:
+    """(host, line_hash) of the lines in more than ``min_texts`` distinct texts of their host."""
     t = text_of(text)
     keyed = docs.select(_host(host).alias("host"), F.xxhash64(t).alias("text_hash"), t.alias("t"))
-    per_host = keyed.select("host", "text_hash").distinct().groupBy("host").agg(F.count("*").alias("n_texts"))
     lines = keyed.select("host", "text_hash", F.explode(F.array_distinct(F.transform(
         F.filter(normal_lines(F.col("t")), lambda x: x != ""), lambda x: F.xxhash64(x)))).alias("line_hash"))
-    counts = lines.distinct().groupBy("host", "line_hash").agg(F.count("*").alias("n")).where(F.col("n") > min_texts)
-    limit = F.greatest(F.lit(min_texts).cast("double"), F.lit(share) * F.col("n_texts"))
-    return counts.join(per_host, "host").where(F.col("n") > limit).select("host", "line_hash")
+    return lines.distinct().groupBy("host", "line_hash").agg(F.count("*").alias("n")).where(F.col("n") > min_texts) \
+        .select("host", "line_hash")
 
 
-def _with_frequent(docs: DataFrame, text: str, host: str, min_texts: int, share: float,
-                   broadcast_rows: int) -> DataFrame:
+def _with_frequent(docs: DataFrame, text: str, host: str, min_texts: int, broadcast_rows: int) -> DataFrame:
     """``docs`` with ``_f``: hashes of frequent lines that matter for the row, null if there are none.
 
-    A host has at most (lines per text) / share frequent lines, so with few hosts the whole list is small: up to
-    ``broadcast_rows`` it is sent to all tasks.  Beyond, rows meet their lines by (host, text hash)."""
+    A list of up to ``broadcast_rows`` lines is sent to all tasks.  Beyond, rows meet their lines by (host, text hash)."""
     keyed = docs.withColumn("_h", _host(host))
-    found = materialize(frequent_lines(docs, text, host, min_texts, share), "frequent-lines")
+    found = materialize(frequent_lines(docs, text, host, min_texts), "frequent-lines")
     if found.count() <= broadcast_rows:
         lists = found.groupBy(F.col("host").alias("_h")).agg(F.collect_list("line_hash").alias("_f"))
         return keyed.join(F.broadcast(lists), "_h", "left").drop("_h")
@@ -115,11 +110,11 @@ def _with_frequent(docs: DataFrame, text: str, host: str, min_texts: int, share:
 
 
 def filter_lines(docs: DataFrame, text: str = "text", host: str = "source", min_texts: int = 10,
-                 share: float = 0.01, min_left: float = 0.3, broadcast_rows: int = 100_000) -> DataFrame:
+                 min_left: float = 0.3, broadcast_rows: int = 100_000) -> DataFrame:
     """``docs`` with the base counts, ``base_failed``, ``clean_text`` (frequent lines removed),
     ``n_removed_lines``, ``words_left`` and ``kept``."""
     t = text_of(text)
-    out = _with_frequent(base_counts(docs, text), text, host, min_texts, share, broadcast_rows)
+    out = _with_frequent(base_counts(docs, text), text, host, min_texts, broadcast_rows)
     raw = F.split(t, "\n")
     pairs = F.arrays_zip(raw.alias("raw"), normal_lines(t).alias("norm"))
     kept = F.transform(F.filter(pairs, lambda z: ~F.array_contains(F.col("_f"), F.xxhash64(z["norm"]))),
