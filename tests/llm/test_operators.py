@@ -370,6 +370,22 @@ def test_mix_meets_targets(docs, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def test_small_sources_meet_targets_beside_a_large_one(spark):
+    data = [(i, "word " * (1 + i % 2), "a") for i in range(200)] + [(1000 + i, prose(i, 40), "b") for i in range(4000)]
+    got = mixing.mix(spark.createDataFrame(data, "doc_id bigint, text string, source string"), shard_docs=10).toPandas()
+    by = got.groupby("source_size").agg(t=("target", "first"), n=("taken", "sum"))
+    assert ((by.t - by.n).abs() <= 8).all() and by.t.iloc[0] == 900 and (got.taken <= 3 * got["size"]).all()
+
+
+def test_blocks_beyond_a_shard_go_to_others():
+    r = np.random.default_rng(3)
+    for _ in range(200):
+        words = r.integers(0, 30, int(r.integers(1, 40)))
+        quota = int(r.integers(0, words.sum() * 3 // 8 + 1))
+        got = mixing.deal_blocks(words, quota, 3, 8)
+        assert abs(np.minimum(got * 8, words * 3).sum() - quota * 8) < 8 and (got * 8 < words * 3 + 8).all()
+
+
 def test_targets_stop_at_the_cap():
     assert mixing.targets([10, 1000, 10], [5, 2, 1], 3) == [30.0, 960.0, 30.0]
 

@@ -7,8 +7,9 @@ is shared anew by weight.
 Blocks: the mix is made of blocks of ``block_words`` words.  Highest quotients
 (votes over 1, 3, 5, ...) give each source a whole number of blocks, votes being
 targets, and then each shard of the source its whole number, votes being the
-shard's words.  Shards are seeded hashes of the documents, of a bounded number
-of documents each.  Within a shard the documents stand in seeded order, their
+shard's words; blocks beyond ``most`` times a shard's words go to the source's
+other shards by the next quotients.  Shards are seeded hashes of the documents,
+as many for a source as its own rows ask for, of a bounded number each.  Within a shard the documents stand in seeded order, their
 words laid out ``most`` times over and cut into blocks; the shard's quota takes
 the first ones.  So every document is taken equally often but for the last
 pass, which stops at the quota, and at most one document of a shard is cut.
@@ -81,6 +82,26 @@ def sainte_lague(votes: Sequence[float], seats: int) -> np.ndarray:
     return got
 
 
+def deal_blocks(words: Sequence[int], quota: int, most: int, block_words: int) -> np.ndarray:
+    """Blocks of each shard: by highest quotients, none above what ``most`` times its words fill, the rest to the others."""
+    room = np.asarray(words, dtype=np.int64) * most
+    top = -(-room // block_words)
+    got = np.minimum(sainte_lague(words, quota), top)
+    while True:
+        left = (quota * block_words - int(np.minimum(got * block_words, room).sum())) // block_words
+        free = np.nonzero(got < top)[0]
+        if left <= 0 or not len(free):
+            return got
+        # Quotients go on from the blocks that the open shards have.
+        votes = np.asarray(words, dtype=np.float64)[free]
+        more = np.maximum(sainte_lague(votes, int(got[free].sum()) + left) - got[free], 0)
+        order = np.argsort(-votes / (2 * got[free] + 2 * more + 1), kind="stable")
+        more = more if more.sum() else np.bincount(order[:left], minlength=len(free))
+        over = np.cumsum(more) - left                 # no more than are left, however the quotients round
+        more = np.maximum(np.minimum(more, more - over), 0)
+        got[free] = np.minimum(got[free] + more, top[free])
+
+
 def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: int = 3, block_words: int = 8, seed: int = 42,
         shard_docs: int = 4000, carry: Sequence[str] = ()) -> DataFrame:
     """doc_id, size, source_size, target, taken for every row of ``docs`` (doc_id, text, source), and the columns in ``carry``."""
@@ -99,19 +120,19 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: int = 3, bl
     sizes = [r["size"] for r in sources]
     aims = targets(sizes, [weights[i % len(weights)] for i in range(len(sources))], most)
     quotas = sainte_lague(aims, round(sum(aims) / block_words))
-    shards = max(1, sum(r["n"] for r in sources) // shard_docs)
     book = spark.createDataFrame(
-        [(r["__source"], r["size"], aim, int(q)) for r, aim, q in zip(sources, aims, quotas)],
-        "__source string, source_size bigint, target double, quota bigint")
-    rows = rows.withColumn("__shard", F.pmod(F.xxhash64("__order"), F.lit(shards)))
+        [(r["__source"], r["size"], aim, int(q), max(1, r["n"] // shard_docs)) for r, aim, q in zip(sources, aims, quotas)],
+        "__source string, source_size bigint, target double, quota bigint, __shards bigint")
+    rows = rows.join(F.broadcast(book.select("__source", "__shards")), "__source") \
+        .withColumn("__shard", F.pmod(F.xxhash64("__order"), F.col("__shards"))).drop("__shards")
     cells = rows.groupBy("__source", "__shard").agg(F.sum("size").alias("words"))
 
     def deal(cell: pd.DataFrame) -> pd.DataFrame:
         cell = cell.sort_values("__shard")
-        cell["blocks"] = sainte_lague(cell["words"].to_numpy(), int(cell["quota"].iloc[0]))
+        cell["blocks"] = deal_blocks(cell["words"].to_numpy(), int(cell["quota"].iloc[0]), most, block_words)
         return cell[["__source", "__shard", "words", "source_size", "target", "blocks"]]
     # One narrow row for each shard of ``shard_docs`` documents.
-    dealt = cells.join(F.broadcast(book), "__source").groupBy("__source").applyInPandas(
+    dealt = cells.join(F.broadcast(book.drop("__shards")), "__source").groupBy("__source").applyInPandas(
         deal, "__source string, __shard bigint, words bigint, source_size bigint, target double, blocks bigint")
     w = Window.partitionBy("__source", "__shard").orderBy("__order", "doc_id", "size") \
         .rowsBetween(Window.unboundedPreceding, -1)
