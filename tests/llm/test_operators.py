@@ -178,6 +178,12 @@ def test_automaton_matches_recursion(docs, empty):
     assert backoff_lm.score_documents(empty, held).count() == 0
 
 
+@pytest.mark.parametrize("most", [0, 255, 256, (1 << 32) - 1, 1 << 32, 1 << 50])
+def test_counts_of_any_size_survive(most):
+    x = np.array([0, 7, most], dtype=np.int64)
+    assert (backoff_lm._from_numbers(backoff_lm._numbers(x)) == x).all()
+
+
 # --- 5 wrappers
 PAGE = ("<html><head><title>t</title><style>p{}</style></head><body><header>Site</header><nav><ul>%s</ul></nav>"
         "<div class='cookie-notice'>We use cookies</div><article><header><h1>Title %d &amp; x</h1></header>%s"

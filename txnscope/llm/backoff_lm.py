@@ -167,12 +167,13 @@ def _from_planes(b: bytes) -> np.ndarray:
 
 
 def _numbers(x: np.ndarray) -> bytes:
-    small = x.max(initial=0) < 256
-    return (b"1" if small else b"4") + zlib.compress(x.astype(np.uint8 if small else "<u4").tobytes(), 1)
+    most = x.max(initial=0)
+    width = 1 if most < 256 else 4 if most < 1 << 32 else 8
+    return b"%d" % width + zlib.compress(x.astype(f"<u{width}").tobytes(), 1)
 
 
 def _from_numbers(b: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(b[1:]), np.uint8 if b[:1] == b"1" else "<u4").astype(np.int64)
+    return np.frombuffer(zlib.decompress(b[1:]), f"<u{b[:1].decode()}").astype(np.int64)
 
 
 class Automaton:
