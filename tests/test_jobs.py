@@ -107,3 +107,13 @@ def test_csv_to_trained_model_to_evaluation(spark, tmp_dir):
         assert last["recall"] == 1.0
         assert spark.read.parquet(out["importances"]).count() > 0
     assert flagged[0.2] >= flagged[0.8]
+
+
+def test_bounded_replay_query_takes_the_default_limit(spark):
+    from tests.conftest import SF_CHECK
+    from txnscope.plans import registry
+    from txnscope.schema import DEFAULT_STREAM_LIMIT
+    from txnscope.sources.ledger import ledger
+    total = ledger(spark, SF_CHECK).count()
+    assert total > 1000
+    assert registry.queries()["w9_bounded_replay_choice"](spark, SF_CHECK).count() == min(total, DEFAULT_STREAM_LIMIT)

@@ -20,7 +20,7 @@ from txnscope.operators import alerts as al
 from txnscope.operators import analytics as an
 from txnscope.operators import metrics as me
 from txnscope.plans import sqltext as Q
-from txnscope.schema import MODEL_FEATURES
+from txnscope.schema import DEFAULT_STREAM_LIMIT, MODEL_FEATURES
 from txnscope.sources.ledger import ledger, with_ledger
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,7 +107,7 @@ def _registry() -> dict[str, tuple[Query, str | None]]:
                     "ORDER BY txn_id LIMIT 100"))
     r["p7_seeded_shuffle"] = (lambda s, d: an.seeded_shuffle(_L(s, d)), None)
     # W9 / P7: the bounded replay's message choice (first n in seeded-hash order).
-    r["w9_bounded_replay_choice"] = (lambda s, d: an.first_n_by_hash(_L(s, d), 1000), None)
+    r["w9_bounded_replay_choice"] = (lambda s, d: an.first_n_by_hash(_L(s, d), DEFAULT_STREAM_LIMIT), None)
     r["p11_nan_to_null"] = (
         lambda s, d: an.nan_to_null(_L(s, d)),
         with_ledger(f"SELECT {LEDGER_COLS} FROM ledger"))
