@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnscope.llm import (backoff_lm, line_frequency, mixing, multiset_hash, packing, simhash, toxicity, url_reputation,
-                          warc, wrappers)
+from txnscope.llm import (backoff_lm, bisectors, line_frequency, mixing, multiset_hash, packing, simhash, toxicity,
+                          url_reputation, warc, whitening, wrappers)
 from txnscope.llm.common import table
 from txnscope.session import materialize
 
@@ -75,6 +75,14 @@ def line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_removed_lines", "words_left", "kept")
 
 
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bisectors.cluster(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc_derivatives": warc_derivatives,
@@ -87,8 +95,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_source_mix": source_mix,
         "op9_document_fingerprints": document_fingerprints,
         "op10_line_quality": line_quality,
+        "op11_embedding_whitening": embedding_whitening,
+        "op13_centroid_clusters": centroid_clusters,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op13_centroid_clusters": bisectors.cluster_sql()}
