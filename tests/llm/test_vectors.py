@@ -5,7 +5,7 @@ import math
 import numpy as np
 import pytest
 
-from txnscope.llm import bisectors, whitening
+from txnscope.llm import bisectors, nn_descent, whitening
 from txnscope.llm.queries import queries
 from tests.conftest import SF_SMALL
 
@@ -145,3 +145,83 @@ def test_registered_queries_on_the_given_table(spark):
     assert len(white) == 32 * len(rows) and white.identity_error.max() < 1e-9
     z = white.pivot(index="vec_id", columns="component", values="whitened").to_numpy()
     assert np.abs(np.cov(z.T, bias=True) - np.eye(32)).max() < 1e-9
+
+
+# --- 12 nearest neighbours
+def brute_nearest(rows, every=20, k=20):
+    """{query: [(vec_id, score)]} over (id, vector) rows; an id counts with its best vector."""
+    out = {}
+    for i, v in rows:
+        if i % every:
+            continue
+        score = {}
+        for j, w in rows:
+            if j != i:
+                score[j] = max(score.get(j, -math.inf), float(np.dot(np.float64(v), np.float64(w))))
+        out[i] = sorted(score.items(), key=lambda z: (-z[1], z[0]))[:k]
+    return out
+
+
+def got_nearest(df):
+    out = {}
+    for r in sorted(df.collect(), key=lambda r: (r.query_id, r.rank)):
+        out.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert r["rank"] == len(out[r.query_id])
+    return out
+
+
+def recall(got, want):
+    hits = [len({j for j, _ in got.get(i, [])} & {j for j, _ in w}) for i, w in want.items()]
+    return sum(hits) / sum(len(w) for w in want.values())
+
+
+def test_nearest_small_tables_are_exact(spark):
+    v = vectors(5, 120, 6)
+    v[3] *= 10
+    rows = [(i, x) for i, x in enumerate(v)] + [(500 + i, v[3]) for i in range(40)] + [(40, v[40])]
+    odd = odd_rows(6) + [(906, [0.0] * 6), (None, v[1])]
+    want = brute_nearest([r for r in rows if r[0] != 40] + [(40, v[40])])
+    got = got_nearest(nn_descent.nearest(frame(spark, rows + odd)))
+    assert recall(got, want) >= 0.99 and {i: len(x) for i, x in got.items()} == {i: 20 for i in want}
+    # Copies: the smallest ids come first among equal scores.
+    copies = [j for j, _ in got[500] if j == 3 or j >= 500]
+    assert len(copies) == 20 and copies == [3, *range(501, 540)][:len(copies)]
+    for i, found in got.items():
+        scores = {j: s for j, s in brute_nearest([r for r in rows if r[0] % 20 or r[0] == i], k=10 ** 6)[i]} | dict(want[i])
+        assert found == sorted(found, key=lambda z: (-z[1], z[0]))
+        assert all(abs(s - scores[j]) < 1e-12 for j, s in found if j in scores)
+
+
+def test_nearest_few_none_and_single(spark):
+    assert nn_descent.nearest(frame(spark, odd_rows(4)[:5])).count() == 0
+    assert nn_descent.nearest(frame(spark, [(20, [1.0, 2.0])])).count() == 0
+    pair = got_nearest(nn_descent.nearest(frame(spark, [(20, [1.0, 2.0]), (1, [3.0, 1.0]), (2, [-1.0, 0.0])])))
+    assert pair == {20: [(1, 5.0), (2, -1.0)]}
+
+
+def test_recall_over_several_parts_with_a_third_near_copies(spark, monkeypatch):
+    r = np.random.default_rng(6)
+    v = r.normal(0, 1, (1800, 24))
+    v[:600] = v[0] + r.normal(0, 0.01, (600, 24))
+    v *= r.uniform(0.5, 2, (1800, 1))
+    rows = [(i, x.astype(np.float32)) for i, x in enumerate(v)]
+    monkeypatch.setattr(nn_descent, "PART", 300)
+    assert recall(got_nearest(nn_descent.nearest(frame(spark, rows))), brute_nearest(rows)) >= 0.95
+
+
+def test_queries_that_are_not_indexed(spark):
+    v = vectors(7, 400, 8)
+    index = nn_descent.build(frame(spark, [(i, x) for i, x in enumerate(v)]))
+    asked = vectors(17, 30, 8)
+    queries_df = spark.createDataFrame([(i, [float(c) for c in x]) for i, x in enumerate(asked)], "query_id bigint, vec array<double>")
+    got = got_nearest(nn_descent.search(index, queries_df, k=5))
+    hit = sum(len({j for j, _ in got[i]} & set(np.lexsort((np.arange(400), -(np.float64(v) @ np.float64(x))))[:5].tolist()) - {i})
+              for i, x in enumerate(asked))
+    assert hit >= 0.9 * 5 * 30 - 30
+
+
+def test_registered_search_on_the_given_table(spark):
+    table = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").toPandas()
+    want = brute_nearest(list(zip(table.vec_id, table.embedding)))
+    got = got_nearest(queries()["op12_nearest_neighbours"](spark, SF_SMALL))
+    assert set(got) == set(want) and recall(got, want) >= 0.9

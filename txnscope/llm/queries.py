@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnscope.llm import (backoff_lm, bisectors, line_frequency, mixing, multiset_hash, packing, simhash, toxicity,
-                          url_reputation, warc, whitening, wrappers)
+from txnscope.llm import (backoff_lm, bisectors, line_frequency, mixing, multiset_hash, nn_descent, packing, simhash,
+                          toxicity, url_reputation, warc, whitening, wrappers)
 from txnscope.llm.common import table
 from txnscope.session import materialize
 
@@ -79,6 +79,10 @@ def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bisectors.cluster(table(spark, sf_dir, "embeddings"))
 
@@ -96,6 +100,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_document_fingerprints": document_fingerprints,
         "op10_line_quality": line_quality,
         "op11_embedding_whitening": embedding_whitening,
+        "op12_nearest_neighbours": nearest_neighbours,
         "op13_centroid_clusters": centroid_clusters,
     }
 
