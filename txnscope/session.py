@@ -86,3 +86,26 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table that was written by this library; nothing happens if it is not there."""
+    at, fs = _file_system(spark, path)
+    fs.delete(at, True)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any file system that Spark reads, sorted; none if it is not there."""
+    at, fs = _file_system(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(at)) if fs.exists(at) else []
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """True if the writer of the table has committed it."""
+    at, fs = _file_system(spark, f"{path}/_SUCCESS")
+    return fs.exists(at)
