@@ -37,14 +37,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from txnscope.llm.vectors import matrix, usable
+from txnscope.llm.vectors import finite, matrix, usable
 from txnscope.session import scratch_path
 
-#: Nodes of a part, and queries of a group: they bound what one task holds.
-PART, GROUP = 8192, 512
+#: Nodes of a part, and queries of a group: they bound what one task holds.  Small tables have LEAST parts and groups,
+#: so that they use a cluster's cores and their traffic grows with the rows.
+PART, GROUP, LEAST = 8192, 512, 16
 LIST = "node bigint, nbr array<bigint>, sim array<double>, fresh array<boolean>, added int, stored boolean"
 
 
@@ -78,12 +79,47 @@ class Index:
     """nodes (node, ids, vec), links (node, nbr) and the numbers that the search needs."""
     nodes: DataFrame
     links: DataFrame
-    dims: int
-    parts: int
+    vectors: Vectors
+    homes: Homes
     entries: list[int]
     tables: Tables
 
 
+@dataclass(frozen=True)
+class Vectors:
+    """Vectors as bytes, which Spark moves as they are."""
+    dims: int
+    kind: str                                                   # numpy's name of the number type
+
+    def pack(self, x: np.ndarray) -> pa.Array:
+        x = np.ascontiguousarray(x, self.kind)
+        size = self.dims * x.itemsize
+        return pa.Array.from_buffers(pa.binary(size), len(x), [None, pa.py_buffer(x)]).cast(pa.binary())
+
+    def unpack(self, column: pa.Array) -> np.ndarray:
+        if not len(column):
+            return np.zeros((0, self.dims), self.kind)
+        offsets = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, column.offset * 4)
+        return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].view(self.kind).reshape(-1, self.dims)
+
+
+@dataclass(frozen=True)
+class Homes:
+    """Which of ``parts`` parts a node belongs to, from its number; ``dealt`` is how many partitions numbered the nodes."""
+    parts: int
+    dealt: int
+
+    def of(self, node: np.ndarray) -> np.ndarray:
+        return ((node >> 32) * self.parts // self.dealt).astype(np.int32)
+
+    def column(self, node: str = "node") -> Column:
+        return F.call_function("div", F.shiftright(node, 32) * self.parts, F.lit(self.dealt)).cast("int")
+
+    def gather(self, df: DataFrame, at: Column) -> DataFrame:
+        """One partition for each part."""
+        return df.repartitionById(self.parts, at)
+
+
 def mixed(*numbers) -> np.ndarray:
     """A hash of whole numbers, the same in every task."""
     h = np.uint64(0x9E3779B97F4A7C15)
@@ -133,30 +169,22 @@ def column(table: pa.Table, name: str) -> pa.Array:
     return table.column(name).combine_chunks() if table.column(name).num_chunks != 1 else table.column(name).chunk(0)
 
 
-def home(node: np.ndarray, parts: int) -> np.ndarray:
-    return ((node >> 32) % parts).astype(np.int32)
-
-
-def by_home(df: DataFrame, parts: int, at: str = "home") -> DataFrame:
-    return df.repartitionById(parts, F.col(at).cast("int"))
-
-
 # --- nodes
-def _nodes(rows: DataFrame, dims: int, most_ids: int, tables: Tables, seed: int) -> DataFrame:
+def _nodes(rows: DataFrame, vectors: Vectors, most_ids: int, tables: Tables, seed: int) -> DataFrame:
     """(node, ids, vec): distinct vectors with their ``most_ids`` smallest ids."""
     rank = F.row_number().over(Window.partitionBy("vec").orderBy("key"))
     classes = rows.distinct().withColumn("rank", rank).where(F.col("rank") <= most_ids) \
         .groupBy("vec").agg(F.sort_array(F.collect_list("key")).alias("ids"))
     classes = tables.store(classes, "ann-classes")
     n = classes.count()
-    normals = np.random.default_rng(seed).standard_normal((dims, 16)).astype(np.float32)
-    kinds = classes.schema
+    normals = np.random.default_rng(seed).standard_normal((vectors.dims, 16)).astype(np.float32)
+    ids = classes.schema["ids"].dataType.simpleString()
 
     def coded(batches):
         for b in batches:
-            signs = matrix(b.column("vec"), dims) @ normals > 0
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(signs @ (1 << np.arange(16)), pa.int32())],
-                                             names=[*b.schema.names, "code"])
+            signs = vectors.unpack(b.column("vec")) @ normals > 0
+            yield pa.RecordBatch.from_arrays([b.column("ids"), b.column("vec"), pa.array(signs @ (1 << np.arange(16)), pa.int32())],
+                                             names=["ids", "vec", "code"])
 
     def numbered(batches):
         from pyspark import TaskContext
@@ -166,22 +194,22 @@ def _nodes(rows: DataFrame, dims: int, most_ids: int, tables: Tables, seed: int)
                                               b.column("vec")], names=["node", "ids", "vec"])
             at += b.num_rows
 
-    inner = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kinds)
-    keyed = classes.mapInArrow(coded, inner + ", code int").withColumn("tie", F.xxhash64(F.col("ids")[0]))
-    parts = max(1, -(-n // PART))
-    dealt = keyed.repartitionByRange(parts, "code", "tie").sortWithinPartitions("code", "tie", F.col("ids")[0])
-    ids, vec = kinds["ids"].dataType.simpleString(), kinds["vec"].dataType.simpleString()
-    return tables.store(dealt.select("ids", "vec").mapInArrow(numbered, f"node bigint, ids {ids}, vec {vec}"),
-                        "ann-nodes")
+    keyed = classes.mapInArrow(coded, f"ids {ids}, vec binary, code int").withColumn("tie", F.xxhash64(F.col("ids")[0]))
+    dealt = keyed.repartitionByRange(parts_of(n, PART), "code", "tie").sortWithinPartitions("code", "tie", F.col("ids")[0])
+    return tables.store(dealt.select("ids", "vec").mapInArrow(numbered, f"node bigint, ids {ids}, vec binary"), "ann-nodes")
+
+
+def parts_of(n: int, size: int) -> int:
+    return max(LEAST, -(-n // size))
 
 
-def _group_links(nodes: DataFrame, dims: int, longest: float, k: int) -> DataFrame:
+def _group_links(nodes: DataFrame, vectors: Vectors, longest: float, k: int) -> DataFrame:
     """Best k links of each node to others in its partition of ``nodes``."""
     def best(batches):
         t = read_all(batches)
         if t is None:
             return
-        number, x = column(t, "node").to_numpy(), lifted(matrix(column(t, "vec"), dims), longest)
+        number, x = column(t, "node").to_numpy(), lifted(vectors.unpack(column(t, "vec")), longest)
         k_here = min(k, len(x) - 1)
         if k_here < 1:
             return
@@ -214,7 +242,7 @@ def _sampled(node: np.ndarray, nbr: np.ndarray, fresh: np.ndarray, turn: int, sa
     return mask
 
 
-def _merged(found: DataFrame, parts: int, k: int, turn: int, sample: int) -> DataFrame:
+def _merged(found: DataFrame, homes: Homes, k: int, turn: int, sample: int) -> DataFrame:
     """Each node's best k links of its stored list and the new ones; links sampled in ``turn`` are no longer fresh."""
     def merge(batches):
         t = read_all(batches)
@@ -238,61 +266,60 @@ def _merged(found: DataFrame, parts: int, k: int, turn: int, sample: int) -> Dat
         at = at[rank < k]
         yield _list_rows(node[rank < k], nbr[at], sim[at], fresh[at], ~stored[at], True)
 
-    return by_home(found.withColumn("home", F.shiftright("node", 32) % parts), parts).drop("home").mapInArrow(merge, LIST)
+    return homes.gather(found, homes.column()).mapInArrow(merge, LIST)
 
 
-def _members(graph: DataFrame, parts: int, turn: int, sample: int) -> DataFrame:
-    """(home, center, member, fresh): whom a node brings together, and with a null center each member that the part asks for."""
-    kind = "home int, center bigint, member bigint, fresh boolean"
+def _members(graph: DataFrame, homes: Homes, turn: int, sample: int) -> DataFrame:
+    """(home, center, member, fresh): whom a node brings together; with a null center the members that a part asks for."""
+    kind = "home int, center bigint, member array<bigint>, fresh array<boolean>"
 
-    def rows(center, member, fresh, where):
-        return pa.RecordBatch.from_arrays([pa.array(where, pa.int32()), pa.array(center, pa.int64()),
-                                           pa.array(member, pa.int64()), pa.array(fresh, pa.bool_())],
+    def rows(center, member, fresh):
+        """Rows of sorted ``center`` with lists."""
+        own, cols = lists(center, (member, pa.int64()), (fresh, pa.bool_()))
+        return pa.RecordBatch.from_arrays([pa.array(homes.of(own), pa.int32()), pa.array(own, pa.int64()), *cols],
                                           names=["home", "center", "member", "fresh"])
 
-    def trimmed(center, member, fresh):
-        return first_of(center * 2 + fresh, mixed(center, member, turn, 7), sample)
-
     def both_ways(batches):
         for b in batches:
             row, nbr = flat(b.column("nbr"))
             fresh, node = flat(b.column("fresh"))[1].astype(bool), b.column("node").to_numpy()[row]
             use = _sampled(node, nbr, fresh, turn, sample)
             node, nbr, fresh = node[use], nbr[use], fresh[use]
-            yield rows(node, nbr, fresh, home(node, parts))
-            back = trimmed(nbr, node, fresh)
-            yield rows(nbr[back], node[back], fresh[back], home(nbr[back], parts))
+            yield rows(node, nbr, fresh)                        # the lists of a batch are grouped by node
+            back = first_of(nbr * 2 + fresh, mixed(nbr, node, turn, 7), sample)
+            yield rows(nbr[back], node[back], fresh[back])
 
     def last(batches):
         t = read_all(batches)
         if t is None:
             return
-        where = t.column("home")[0].as_py()
-        center, member = column(t, "center").to_numpy(), column(t, "member").to_numpy()
-        fresh = np.asarray(column(t, "fresh").to_numpy(False)).astype(bool)
+        row, member = flat(column(t, "member"))
+        center, fresh = column(t, "center").to_numpy()[row], flat(column(t, "fresh"))[1].astype(bool)
         at = np.lexsort((~fresh, member, center))
         center, member, fresh = center[at], member[at], fresh[at]
         once = np.r_[True, (center[1:] != center[:-1]) | (member[1:] != member[:-1])]
         center, member, fresh = center[once], member[once], fresh[once]
-        keep = first_of(center * 2 + fresh, mixed(center, member, turn, 7), 2 * sample)
-        keep.sort()
-        asked = np.unique(member[keep])
-        yield rows(center[keep], member[keep], fresh[keep], np.full(len(keep), where))
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(asked), where), pa.int32()), pa.nulls(len(asked), pa.int64()),
-                                          pa.array(asked, pa.int64()), pa.nulls(len(asked), pa.bool_())],
-                                         names=["home", "center", "member", "fresh"])
+        keep = np.sort(first_of(center * 2 + fresh, mixed(center, member, turn, 7), 2 * sample))
+        center, member, fresh = center[keep], member[keep], fresh[keep]
+        yield rows(center, member, fresh)
+        # A part asks by the lists of a few thousand nodes each.
+        asked = np.unique(member)
+        cuts = [asked[lo:lo + 4096] for lo in range(0, len(asked), 4096)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(cuts), homes.of(center[:1])[0]), pa.int32()), pa.nulls(len(cuts), pa.int64()),
+             pa.array(cuts, pa.list_(pa.int64())), pa.nulls(len(cuts), pa.list_(pa.bool_()))],
+            names=["home", "center", "member", "fresh"])
 
-    return by_home(graph.select("node", "nbr", "fresh").mapInArrow(both_ways, kind), parts).mapInArrow(last, kind)
+    return homes.gather(graph.select("node", "nbr", "fresh").mapInArrow(both_ways, kind), F.col("home")).mapInArrow(last, kind)
 
 
-def _compared(members: DataFrame, nodes: DataFrame, graph: DataFrame, parts: int, dims: int, longest: float,
+def _compared(members: DataFrame, nodes: DataFrame, graph: DataFrame, homes: Homes, vectors: Vectors, longest: float,
               k: int, per_part: int) -> DataFrame:
     """The best new links, up to ``per_part`` of a node from each part, among nodes that a center brings together."""
-    worst = graph.select(F.col("node").alias("member"), F.coalesce(F.get("sim", F.lit(k - 1)), F.lit(-9.0)).alias("worst"))
-    asked = members.where("center is null").select("home", "member") \
-        .join(nodes.select(F.col("node").alias("member"), "vec"), "member").join(worst, "member")
-    work = asked.select("home", F.lit(None).cast("bigint").alias("center"), "member", F.lit(None).cast("boolean").alias("fresh"),
-                        "vec", "worst").unionByName(members.where("center is not null"), allowMissingColumns=True)
+    worst = graph.select(F.col("node").alias("asked"), F.coalesce(F.get("sim", F.lit(k - 1)), F.lit(-9.0)).alias("worst"))
+    asked = members.where("center is null").select("home", F.explode("member").alias("asked")) \
+        .join(nodes.select(F.col("node").alias("asked"), "vec"), "asked").join(worst, "asked")
+    work = asked.unionByName(members.where("center is not null"), allowMissingColumns=True)
 
     def best(u, w, s, m):
         at = np.lexsort((-s, u * m + w))
@@ -306,19 +333,14 @@ def _compared(members: DataFrame, nodes: DataFrame, graph: DataFrame, parts: int
         t = read_all(batches)
         if t is None:
             return
-        center = column(t, "center")
-        known = np.asarray(center.is_null())
-        number = column(t, "member").to_numpy()
-        at = np.argsort(number[known])
-        ids = number[known][at]
-        vec = t.column("vec").filter(pa.array(known)).combine_chunks()
-        x = lifted(matrix(vec, dims), longest)[at]
-        worst = t.column("worst").filter(pa.array(known)).to_numpy()[at]
-        c = center.filter(pa.array(~known)).to_numpy()
-        who = np.searchsorted(ids, number[~known])
-        fresh = np.asarray(t.column("fresh").filter(pa.array(~known)).to_numpy()).astype(bool)
-        order = np.argsort(c, kind="stable")
-        c, who, fresh = c[order], who[order], fresh[order]
+        known = np.asarray(column(t, "asked").is_valid())
+        there, mine = t.filter(pa.array(known)).combine_chunks(), t.filter(pa.array(~known)).combine_chunks()
+        ids = column(there, "asked").to_numpy()
+        at = np.argsort(ids)
+        ids, worst = ids[at], column(there, "worst").to_numpy()[at]
+        x = lifted(vectors.unpack(column(there, "vec"))[at], longest)
+        row, who = flat(column(mine, "member"))
+        c, who, fresh = row, np.searchsorted(ids, who), flat(column(mine, "fresh"))[1].astype(bool)
         start = np.flatnonzero(np.r_[True, c[1:] != c[:-1]]) if len(c) else np.zeros(0, int)
         sizes = np.diff(np.r_[start, len(c)])
         held, waiting = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)], 0
@@ -343,10 +365,10 @@ def _compared(members: DataFrame, nodes: DataFrame, graph: DataFrame, parts: int
         for lo in range(0, len(u), 1 << 18):
             yield _list_rows(ids[u[lo:lo + (1 << 18)]], ids[w[lo:lo + (1 << 18)]], s[lo:lo + (1 << 18)])
 
-    return by_home(work, parts).mapInArrow(compare, LIST)
+    return homes.gather(work, F.col("home")).mapInArrow(compare, LIST)
 
 
-def _links(graph: DataFrame, parts: int, k: int) -> DataFrame:
+def _links(graph: DataFrame, homes: Homes, k: int) -> DataFrame:
     """(node, nbr): each node's own links and the best k of those that link to it."""
     kind = "node bigint, nbr array<bigint>, sim array<double>"
 
@@ -374,8 +396,17 @@ def _links(graph: DataFrame, parts: int, k: int) -> DataFrame:
 
     lists_in = graph.select("node", "nbr", "sim")
     both = lists_in.withColumn("own", F.lit(True)).unionByName(lists_in.mapInArrow(back, kind).withColumn("own", F.lit(False)))
-    return by_home(both.withColumn("home", F.shiftright("node", 32) % parts), parts) \
-        .mapInArrow(join, "node bigint, nbr array<bigint>")
+    return homes.gather(both, homes.column()).mapInArrow(join, "node bigint, nbr array<bigint>")
+
+
+def packed(rows: DataFrame, vectors: Vectors) -> DataFrame:
+    """(key, vec) with vectors as bytes; zero vectors are left out, -0.0 is 0.0."""
+    def pack(batches):
+        for b in batches:
+            x = matrix(b.column("vec"), vectors.dims) + 0.0
+            live = (x != 0).any(axis=1)
+            yield pa.RecordBatch.from_arrays([b.column("key").filter(pa.array(live)), vectors.pack(x[live])], names=["key", "vec"])
+    return rows.mapInArrow(pack, f"key {rows.schema['key'].dataType.simpleString()}, vec binary")
 
 
 def build(df: DataFrame, key: str = "vec_id", vec: str = "embedding", k: int = 48, sample: int = 12, rounds: int = 8,
@@ -384,40 +415,45 @@ def build(df: DataFrame, key: str = "vec_id", vec: str = "embedding", k: int = 4
     spark = df.sparkSession
     tables = Tables(spark)
     rows, dims = usable(df, key, vec)
-    rows = rows.where("key is not null").where(F.exists("vec", lambda x: x != 0))
     if not dims:
         return None
-    nodes = _nodes(rows, dims, most_ids, tables, seed)
-    size = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
-    about = nodes.agg(F.count("*").alias("n"), (F.shiftright(F.max("node"), 32) + 1).alias("parts"),
-                      F.max(size).alias("longest")).first()
+    kind = "float32" if rows.schema["vec"].dataType.elementType.typeName() == "float" else "float64"
+    vectors = Vectors(dims, kind)
+    rows = packed(rows.where("key is not null"), vectors)
+    nodes = _nodes(rows, vectors, most_ids, tables, seed)
+
+    def lengths(batches):
+        for b in batches:
+            x = vectors.unpack(b.column("vec")).astype(np.float64)
+            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(np.sqrt(np.einsum("ij,ij->i", x, x)))], names=["node", "size"])
+    about = nodes.select("node", "vec").mapInArrow(lengths, "node bigint, size double") \
+        .agg(F.count("*").alias("n"), F.max("node").alias("last"), F.max("size").alias("longest")).first()
     if not about["n"]:
         return None
-    parts, longest = int(about["parts"]), float(about["longest"])
-    near = by_home(nodes.withColumn("home", F.shiftright("node", 32) % parts), parts)
-    anyone = by_home(nodes.withColumn("home", F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(parts))), parts)
-    start = _group_links(near, dims, longest, k // 2).unionByName(_group_links(anyone, dims, longest, k // 2))
-    graph = tables.store(_merged(start, parts, k, -1, sample), "ann-graph")
+    homes, longest = Homes(parts_of(about["n"], PART), (about["last"] >> 32) + 1), about["longest"]
+    near = homes.gather(nodes, homes.column())
+    anyone = homes.gather(nodes, F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(homes.parts)).cast("int"))
+    start = _group_links(near, vectors, longest, k // 2).unionByName(_group_links(anyone, vectors, longest, k // 2))
+    graph = tables.store(_merged(start, homes, k, -1, sample), "ann-graph")
     for turn in range(rounds):
-        members = tables.store(_members(graph, parts, turn, sample), "ann-members")
-        found = _compared(members, nodes, graph, parts, dims, longest, k, per_part)
-        graph = tables.store(_merged(graph.unionByName(found), parts, k, turn, sample), "ann-graph")
+        members = tables.store(_members(graph, homes, turn, sample), "ann-members")
+        found = _compared(members, nodes, graph, homes, vectors, longest, k, per_part)
+        graph = tables.store(_merged(graph.unionByName(found), homes, k, turn, sample), "ann-graph")
         changed = graph.agg(F.coalesce(F.sum("added"), F.lit(0))).first()[0]
         if changed <= settled * k * about["n"]:
             break
-    links = tables.store(_links(graph, parts, k), "ann-links")
+    links = tables.store(_links(graph, homes, k), "ann-links")
     tables.clear("ann-members", "ann-graph", "ann-classes")
     entries = [r.node for r in nodes.select("node").orderBy(F.xxhash64("node", F.lit(seed + 1))).limit(n_entries).collect()]
-    return Index(nodes, links, dims, parts, entries, tables)
+    return Index(nodes, links, vectors, homes, entries, tables)
 
 
 # --- search
 def _search(index: Index, queries: DataFrame, beam: int, expand: int) -> DataFrame:
     """queries (q, vec, start): state (q, ids, sims) with the best ``beam`` nodes of each, best first."""
-    tables, dims = index.tables, index.dims
-    groups = max(1, -(-queries.count() // GROUP))
-    kind = queries.schema["vec"].dataType.simpleString()
-    state = f"home int, q bigint, qvec {kind}, ids array<bigint>, sims array<double>, done array<boolean>, want array<bigint>, ask bigint"
+    tables, vectors = index.tables, index.vectors
+    groups = Homes(parts_of(queries.count(), GROUP), 1)
+    state = "home int, q bigint, qvec binary, ids array<bigint>, sims array<double>, done array<boolean>, want array<bigint>, ask bigint"
     names = ["home", "q", "qvec", "ids", "sims", "done", "want", "ask"]
     types = {"ids": pa.list_(pa.int64()), "sims": pa.list_(pa.float64()), "done": pa.list_(pa.bool_()),
              "want": pa.list_(pa.int64())}
@@ -445,9 +481,9 @@ def _search(index: Index, queries: DataFrame, beam: int, expand: int) -> DataFra
         number = column(there, "ask").to_numpy()
         at = np.argsort(number)
         number = number[at]
-        x = matrix(column(there, "vec"), dims)[at] if len(at) else np.zeros((0, dims))
+        x = vectors.unpack(column(there, "vec"))[at]
         qvec, out = column(mine, "qvec"), ([], [], [], [])
-        q = matrix(qvec, dims).astype(np.float64)
+        q = vectors.unpack(qvec).astype(np.float64)
         for i, (ids, sims, done, want) in enumerate(zip(*[column(mine, n).to_numpy(False) for n in
                                                           ("ids", "sims", "done", "want")], strict=True)):
             got = np.einsum("ij,j->i", x[np.searchsorted(number, want)].astype(np.float64), q[i])
@@ -480,10 +516,10 @@ def _search(index: Index, queries: DataFrame, beam: int, expand: int) -> DataFra
     def step(work, table, value, fn):
         asked = work.where("q is null").select("home", "ask").join(
             table.select(F.col("node").alias("ask"), value), "ask")
-        return by_home(asked.unionByName(work.where("q is not null"), allowMissingColumns=True), groups) \
+        return groups.gather(asked.unionByName(work.where("q is not null"), allowMissingColumns=True), F.col("home")) \
             .mapInArrow(fn, state)
 
-    begin = queries.select(F.pmod(F.xxhash64("vec"), F.lit(groups)).cast("int").alias("home"), "q", F.col("vec").alias("qvec"),
+    begin = queries.select(F.pmod(F.xxhash64("vec"), F.lit(groups.parts)).cast("int").alias("home"), "q", F.col("vec").alias("qvec"),
                            F.array().cast("array<bigint>").alias("ids"), F.array().cast("array<double>").alias("sims"),
                            F.array().cast("array<boolean>").alias("done"), F.col("start").alias("want"),
                            F.lit(None).cast("bigint").alias("ask"))
@@ -499,8 +535,10 @@ def _search(index: Index, queries: DataFrame, beam: int, expand: int) -> DataFra
 
 def search(index: Index, queries: DataFrame, k: int = 20, beam: int = 160, expand: int = 16) -> DataFrame:
     """The ``k`` nearest found of each query (query_id, vec): query_id, rank, vec_id, score; never the query's own id."""
-    vec = F.col("vec").cast(index.nodes.schema["vec"].dataType)
-    queries = queries.select("query_id", vec.alias("vec")).where("query_id is not null").distinct()
+    kind = "array<float>" if index.vectors.kind == "float32" else "array<double>"
+    asked = queries.select(F.col("query_id").alias("key"), F.col("vec").cast(kind).alias("vec")) \
+        .where((F.size("vec") == index.vectors.dims) & F.col("key").isNotNull() & finite("vec"))
+    queries = packed(asked, index.vectors).withColumnRenamed("key", "query_id").distinct()
     entries = F.array(*[F.lit(e).cast("bigint") for e in index.entries])
     # Equal vectors are searched once, from their own node if they are indexed.
     known = queries.select("vec").distinct().join(index.nodes.select("vec", "node"), "vec", "left")
@@ -525,6 +563,6 @@ def nearest(df: DataFrame, every: int = 20, k: int = 20, key: str = "vec_id", ve
     index = build(df, key, vec, most_ids=k + 1)
     if index is None:
         return df.sparkSession.createDataFrame([], f"query_id {kind}, rank int, vec_id {kind}, score double")
-    rows, _ = usable(df, key, vec, index.dims)
-    rows = rows.where(F.exists("vec", lambda x: x != 0)).where(F.col("key") % every == 0)
+    rows, _ = usable(df, key, vec, index.vectors.dims)
+    rows = rows.where(F.col("key") % every == 0)
     return search(index, rows.select(F.col("key").alias("query_id"), "vec"), k)
