@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from txnscope.functions import exact
 from txnscope.functions import features as fx
+from txnscope.functions import permutation
 from txnscope.functions import rules
 from txnscope.operators import alerts as al
 from txnscope.operators import analytics as an
@@ -108,6 +109,15 @@ def _registry() -> dict[str, tuple[Query, str | None]]:
     r["p7_seeded_shuffle"] = (lambda s, d: an.seeded_shuffle(_L(s, d)), None)
     # W9 / P7: the bounded replay's message choice (first n in seeded-hash order).
     r["w9_bounded_replay_choice"] = (lambda s, d: an.first_n_by_hash(_L(s, d), DEFAULT_STREAM_LIMIT), None)
+    # The same without a sort: a row's place in the shuffle, and the first third of the rows.
+    places = permutation.permutation_sql("ledger", "txn_id - (SELECT min(txn_id) FROM ledger)", "(SELECT count(*) FROM ledger)",
+                                         walks=8)
+    r["p7_shuffled_places"] = (
+        lambda s, d: permutation.shuffled_positions(_L(s, d)).select("txn_id", "place"),
+        with_ledger(f"SELECT txn_id, place FROM ({places})"))
+    r["w9_first_third_shuffled"] = (
+        lambda s, d: permutation.first_n_shuffled(_L(s, d), _L(s, d).count() // 3).select(*LEDGER_COLS.split(", ")),
+        with_ledger(f"SELECT {LEDGER_COLS} FROM ({places}) WHERE place < (SELECT count(*) FROM ledger) // 3"))
     r["p11_nan_to_null"] = (
         lambda s, d: an.nan_to_null(_L(s, d)),
         with_ledger(f"SELECT {LEDGER_COLS} FROM ledger"))
@@ -572,20 +582,80 @@ def _add_learning(r: dict) -> None:
             F.coalesce(F.col("score_error").contains("amount"), F.lit(False)).alias("names_amount"))
     r["m15_score_reasons"] = (score_reasons, with_ledger(
         "SELECT txn_id, txn_id % 5 > 2 AS scored, txn_id % 5 <= 2 AS names_amount FROM ledger"))
+    # One level of second-order boosting: the root's histograms at fixed cuts, in units of 2^-20.
+    cuts = {"amount": [1000.0, 10000.0, 50000.0, 100000.0], "oldbalanceOrg": [0.0, 1000.0, 100000.0]}
+
+    def first_level(s, d):
+        from txnscope.learning import boosting as B
+        rows = B.binned(_L(s, d), list(cuts), list(cuts.values()), "isFraud", 99.0)
+        root = {"feature": [-1], "bin": [0], "left": [-1], "gain": [0.0], "weight": [0.0]}
+        return B.level_sums(rows, len(cuts), [], root, [0], 20)
+    per_feature = " UNION ALL ".join(
+        f"SELECT {i} AS feature, {' + '.join(f'CASE WHEN {f} > {e} THEN 1 ELSE 0 END' for e in edges)} AS bin, isFraud FROM ledger"
+        for i, (f, edges) in enumerate(cuts.items()))
+    r["m5_first_level_sums"] = (first_level, with_ledger(
+        "SELECT 0 AS node, feature, bin, count(*) AS n, "
+        "CAST(sum(CASE WHEN isFraud = 1 THEN -99 ELSE 1 END) * 524288 AS BIGINT) AS g, "
+        f"CAST(sum(CASE WHEN isFraud = 1 THEN 99 ELSE 1 END) * 262144 AS BIGINT) AS h FROM ({per_feature}) GROUP BY feature, bin"))
+    # The reduced curves of a report against the full ones: how many points, and whether the areas agree.
+    def report_curves(s, d):
+        got, run = me.curve_summary(_scored(s, d))
+        points = list(zip(got["fpr"], got["tpr"]))
+        area = sum((b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip(points, points[1:]))
+        return run.agg(F.max("tot_pos").alias("positives"), F.max("tot_neg").alias("negatives")).select(
+            "positives", "negatives", F.lit(abs(area - got["roc_auc"]) < 1 / (4 * me.CURVE_CELLS)).alias("area_within_bound"),
+            F.lit(len(points) <= 4 * me.CURVE_CELLS + 3).alias("points_within_bound"),
+            F.lit(round(got["roc_auc"], 9)).alias("roc_auc"))
+    r["k9_report_curves"] = (report_curves, _with(SCORED_CTE, body=(
+        "SELECT P AS positives, N AS negatives, true AS area_within_bound, true AS points_within_bound, round(num2 / (2.0 * P * N), 9) "
+        "AS roc_auc FROM (SELECT sum(pos)::BIGINT AS P, sum(neg)::BIGINT AS N, sum(pos * (2 * (tn - cum_neg) + neg))::DOUBLE AS num2 "
+        "FROM (SELECT pos, neg, sum(neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cum_neg, sum(neg) OVER () AS tn "
+        "FROM (SELECT score, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label <> 1) AS neg FROM scored "
+        "GROUP BY score) g) w) a")))
+
+    def boosted_scores(s, d):
+        from txnscope.learning import boosting as B
+        from txnscope.learning.split import stratified_split
+        train, _ = stratified_split(M.prepare(_L(s, d)))
+        model = B.fit(train, spec=B.BoostSpec(rounds=10, depth=4))
+        return model.score(M.prepare(_L(s, d))).select(
+            "txn_id", F.col("score").isNotNull().alias("scored"), F.col("score").between(0, 1).alias("is_probability"))
+    r["m5_boosted_scores"] = (boosted_scores, with_ledger(
+        "SELECT txn_id, true AS scored, true AS is_probability FROM ledger"))
+
+    def tree_scores(s, d):
+        """Batch scoring of a forest by leaf tables against its fitted stages, row by row."""
+        train, _ = _resampled(s, d)
+        model = M.pipeline(M.classifier("Random Forest", M.ModelSpec(rf_trees=20, rf_depth=8), train.count())) \
+            .fit(M.with_weights(train))
+        own = M.scored_features(model, _L(s, d)).select("txn_id", "score", "prediction")
+        stages = M.probability_of_fraud(model.transform(M.prepare(_L(s, d)))).select(
+            "txn_id", F.col("score").alias("p"), F.col("prediction").cast("int").alias("decided"))
+        return own.join(stages, "txn_id").select("txn_id", (F.abs(F.col("score") - F.col("p")) < 1e-12).alias("same_score"),
+                                                 (F.col("prediction") == F.col("decided")).alias("same_prediction"))
+    r["m15_tree_scores"] = (tree_scores, with_ledger("SELECT txn_id, true AS same_score, true AS same_prediction FROM ledger"))
     r["m17_model_comparison"] = (
         lambda s, d: M.metric_table(M.compare_models(_L(s, d)).report), None)
 
 
-# --- streaming: bounded replay of the ledger through the consumer -------------------
-def _stream_run(spark, sf):
+# --- streaming: bounded replays of the ledger through the consumer ------------------
+def _stream_run(spark, sf, scorer=None):
+    """Two runs over one checkpoint: all transactions, then replays of a third of them and messages without an amount."""
     import uuid
 
     from txnscope.session import scratch_path
     from txnscope.streaming import consumer as W
     base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+
+    def run():
+        W.run_bounded(spark, W.message_source(spark, f"{base}/in"), scorer or W.rule_scorer(),
+                      f"{base}/alerts", f"{base}/stats", f"{base}/ckpt", f"{base}/rejects")
     W.replay_messages(_L(spark, sf), f"{base}/in")
-    W.run_bounded(spark, W.message_source(spark, f"{base}/in"), W.rule_scorer(),
-                  f"{base}/alerts", f"{base}/stats", f"{base}/ckpt", f"{base}/rejects")
+    run()
+    W.replay_messages(_L(spark, sf).where("txn_id % 3 = 0"), f"{base}/in")
+    _L(spark, sf).where("txn_id % 50 = 0").select(F.to_json(F.struct(F.col("txn_id").alias("transaction_id"), "type"))) \
+        .write.mode("append").text(f"{base}/in")
+    run()
     return base
 
 
@@ -598,7 +668,7 @@ def _add_streaming(r: dict) -> None:
 
     def alerts(s, d):
         base = _stream_run(s, d)
-        return s.read.parquet(f"{base}/alerts").drop("saved_at") \
+        return W.read_alerts(s, f"{base}/alerts").drop("saved_at") \
             .withColumn("flags", F.array_join("flags", "|"))
     r["w3_stream_alerts"] = (alerts, _with(ALERTS_CTE, body=(
         f"SELECT {STREAM_ID} AS transaction_id, type, amount, confidence, risk_level, "
@@ -612,6 +682,38 @@ def _add_streaming(r: dict) -> None:
         "SELECT processed, fraud_count, fraud_rate, avg_confidence FROM stats "
         "ORDER BY recorded_at DESC LIMIT 1")))
 
+    def accounts(s, d):
+        cols = ["messages", "processed", "rejects", "duplicates"]
+        return W.read_accounts(s, f"{_stream_run(s, d)}/stats") \
+            .agg(F.max_by(F.struct(*cols), "epoch").alias("a")).select("a.*")
+    r["w6_stream_accounts"] = (accounts, with_ledger(
+        "SELECT count(*) + count(*) FILTER (WHERE txn_id % 3 = 0) + count(*) FILTER (WHERE txn_id % 50 = 0) AS messages, "
+        "count(*) AS processed, count(*) FILTER (WHERE txn_id % 50 = 0) AS rejects, "
+        "count(*) FILTER (WHERE txn_id % 3 = 0) AS duplicates FROM ledger"))
+
+    def causes(s, d):
+        return s.read.parquet(f"{_stream_run(s, d)}/rejects").groupBy("cause").agg(F.count("*").alias("n"))
+    r["w1_reject_causes"] = (causes, with_ledger(
+        "SELECT 'missing amount,oldbalanceOrg,newbalanceOrig,oldbalanceDest,newbalanceDest' AS cause, count(*) AS n "
+        "FROM ledger WHERE txn_id % 50 = 0"))
+
+    def agreement(s, d):
+        """The stream with a fitted linear model against batch scoring of the same transactions."""
+        from txnscope.learning import models as M
+        from txnscope.sources.readers import stable_uuid
+        train, _ = _resampled(s, d)
+        model = M.pipeline(M.classifier("Logistic Regression", M.ModelSpec(), train.count())).fit(M.with_weights(train))
+        base = _stream_run(s, d, W.model_scorer(model))
+        found = s.read.parquet(f"{base}/alerts").select("transaction_id", F.col("confidence").alias("streamed"))
+        batch = M.batch_score(model, _L(s, d)).where("prediction = 1") \
+            .select(stable_uuid("txn_id").alias("transaction_id"), "confidence")
+        both = found.join(batch, "transaction_id", "full").agg(
+            F.count_if(F.col("streamed").isNull()).alias("missing"), F.count_if(F.col("confidence").isNull()).alias("extra"),
+            F.count_if(F.abs(F.col("streamed") - F.col("confidence")) > 1e-9).alias("other_confidence"))
+        return W.final_totals(s, f"{base}/stats").select("processed").join(both)
+    r["w2_stream_model_agreement"] = (agreement, with_ledger(
+        "SELECT count(*) AS processed, 0 AS missing, 0 AS extra, 0 AS other_confidence FROM ledger"))
+
 
 _REGISTRY: dict[str, tuple[Query, str | None]] | None = None
 

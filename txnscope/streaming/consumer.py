@@ -278,6 +278,12 @@ def windowed_alert_counts(alerts_stream: DataFrame, width: str = "5 minutes",
         .groupBy(F.window("saved_at", width)).agg(F.count(F.lit(1)).alias("alerts"))
 
 
+# K7 ---------------------------------------------------------------------------
+def read_alerts(spark: SparkSession, alerts_path: str) -> DataFrame:
+    """The alert table, without the epoch that its folders name."""
+    return spark.read.parquet(alerts_path).drop("epoch")
+
+
 # W7 ---------------------------------------------------------------------------
 def read_stats(spark: SparkSession, stats_path: str) -> DataFrame:
     return EpochTable(spark, stats_path).read().select(*SNAPSHOT)
