@@ -127,3 +127,34 @@ def filter_lines(docs: DataFrame, text: str = "text", host: str = "source", min_
                          .otherwise(F.col("n_words")))
     depleted = touched & ((F.col("words_left") < MIN_WORDS) | (F.col("words_left") < min_left * F.col("n_words")))
     return out.withColumn("kept", ~F.col("base_failed") & ~depleted)
+
+
+def filter_sql(min_texts: int = 10, min_left: float = 0.3) -> str:
+    """The counts and verdicts of ``filter_lines`` over the table ``documents`` in DuckDB, comparing lines instead of hashes."""
+    word = r"[^\x20\x09-\x0D]+"
+    chars = "'" + UPPER + "123456789' || chr(9) || chr(11) || chr(12) || chr(13)"
+    plain = "'" + UPPER.lower() + "0" * 9 + "    '"
+    return f"""WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t,
+          regexp_extract_all(coalesce(text, ''), '{word}') AS ws FROM documents),
+        starts AS (SELECT d.rid, ws, i FROM d JOIN (SELECT rid, unnest(range(1, greatest(len(ws) - {WINDOW - 2}, 1))) AS i FROM d) s
+          ON d.rid = s.rid),
+        windows AS (SELECT rid, unnest(list(i)) AS i FROM starts GROUP BY rid, array_to_string(ws[i:i + {WINDOW - 1}], ' ')
+          HAVING count(*) > 1),
+        covered AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + {WINDOW})) AS p FROM windows)
+          GROUP BY rid),
+        lines AS MATERIALIZED (SELECT rid, source, t, line, pos, trim(translate(line, {chars}, {plain}), ' ') AS norm FROM (
+          SELECT rid, source, t, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS pos FROM d)),
+        worded AS (SELECT rid, count(*) - count(DISTINCT line) AS n FROM lines WHERE regexp_matches(line, '{word}') GROUP BY rid),
+        frequent AS (SELECT source, norm FROM (SELECT DISTINCT source, t, norm FROM lines WHERE norm <> '') GROUP BY source, norm
+          HAVING count(*) > {min_texts}),
+        marked AS (SELECT l.*, f.norm IS NOT NULL AS gone FROM lines l LEFT JOIN frequent f
+          ON l.source IS NOT DISTINCT FROM f.source AND l.norm = f.norm),
+        cleaned AS (SELECT rid, count(*) FILTER (WHERE gone) AS removed,
+          coalesce(sum(len(regexp_extract_all(line, '{word}'))) FILTER (WHERE NOT gone), 0) AS words FROM marked GROUP BY rid),
+        counted AS (SELECT doc_id, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
+          length(t) - length(translate(t, '{SYMBOLS}', '')) AS n_symbols, coalesce(w.n, 0) AS n_dup_lines,
+          coalesce(c.n, 0) AS n_repeat_words, x.removed AS n_removed_lines, x.words::BIGINT AS words_left
+          FROM d LEFT JOIN covered c USING (rid) LEFT JOIN worded w USING (rid) JOIN cleaned x USING (rid)),
+        base AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counted)
+        SELECT *, NOT base_failed AND NOT (n_removed_lines > 0 AND (words_left < {MIN_WORDS} OR words_left < {min_left} * n_words)) AS kept
+        FROM base"""

@@ -106,4 +106,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op13_centroid_clusters": bisectors.cluster_sql()}
+    return {"op7_url_verdicts": url_reputation.judge_sql(RULES), "op10_line_quality": line_frequency.filter_sql(),
+            "op13_centroid_clusters": bisectors.cluster_sql()}

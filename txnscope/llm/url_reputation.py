@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnscope.llm.wrappers import host_of
+from txnscope.session import materialize
 
 #: Second-level names under which domains are registered.
 SECOND_LEVEL = ("ac", "co", "com", "edu", "gov", "net", "org")
@@ -115,9 +116,55 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], limit: float = 0.5
     seen = F.col("__r").isNotNull().cast("bigint")
     outcomes = rows.groupBy("host").agg(
         F.sum(seen).alias("n"), F.sum(F.coalesce((F.col("__r")["verdict"] == "block").cast("bigint"), F.lit(0))).alias("blocked"))
+    # One narrow row a host; every level reads these, not the pages.
+    outcomes = materialize(outcomes, "host-outcomes")
     rates = reputation(outcomes, z).select("host", F.col("bound").alias("__bound"))
     own = F.when(F.col("__bound") > limit, "block").otherwise("allow")
     out = rows.join(rates, "host", "left")
     have = [F.col(f"__in_{c}").alias(c) for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
     return out.select(*have, "host", "path", F.col("__r")["rule"].alias("rule"),
                       F.coalesce(F.col("__r")["verdict"], own).alias("verdict"))
+
+
+def judge_sql(rules: Sequence[tuple[str, str]], limit: float = 0.5, z: float = 1.96) -> str:
+    """The same verdicts of the table ``pages`` in DuckDB."""
+    def fits(rule: str) -> str:
+        name, _, rest = rule.partition("/")
+        return f"(host = '{name}' OR ends_with(host, '.{name}')) AND starts_with(path, '/{rest}')"
+    hits = ", ".join(f"CASE WHEN {fits(r)} THEN {{'size': {len(r)}, 'verdict': '{v}', 'rule': '{r}'}} END" for v, r in rules)
+    second = ", ".join(f"'{x}'" for x in SECOND_LEVEL)
+
+    def level(name: str, groups: str, n: str, k: str) -> str:
+        """Posterior mean m and weight c of the groups, from their prior m and c."""
+        return f"""{name}_sums AS (SELECT sum({n} * power({k} / {n}::DOUBLE - m, 2)) AS s1, sum(m * (1 - m)) AS s2,
+          sum({n} * m * (1 - m)) AS s3 FROM {groups} WHERE {n} > 0),
+        {name}_strength AS (SELECT CASE WHEN coalesce(s1, 0) = 0 OR coalesce(s3, 0) = 0 OR s3 <= s2 THEN 2.0::DOUBLE ELSE greatest(
+          1 / least(greatest((s1 - s2) / (s3 - s2), 1 / 10001.0::DOUBLE), 0.99::DOUBLE) - 1, 2.0::DOUBLE) END AS s FROM {name}_sums),
+        {name}_ab AS (SELECT g.* EXCLUDE (m, c), m * least(s, c) + {k} AS a, (1 - m) * least(s, c) + {n} - {k} AS b
+          FROM {groups} g, {name}_strength),
+        {name} AS (SELECT * EXCLUDE (a, b), a, b, a + b AS c, a / (a + b) AS m FROM {name}_ab)"""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return rf"""WITH cut AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substring(url, instr(url, '://') + 3) END AS rest FROM pages),
+        parts AS (SELECT page_id, coalesce(translate(regexp_extract(rest, '(?s)\A([^/?#]*)', 1), '{upper}', '{lower}'), '') AS host,
+          coalesce(regexp_extract(rest, '(?s)\A[^/?#]*([^?#]*)', 1), '') AS path FROM cut),
+        ruled AS (SELECT *, list_max([{hits}]) AS r FROM parts),
+        outcomes AS (SELECT host, count(r) AS n, count(*) FILTER (WHERE r.verdict = 'block') AS blocked FROM ruled GROUP BY host),
+        bare AS (SELECT *, regexp_replace(regexp_replace(host, '\A.*@', ''), '(:[0-9]*|\.)\z', '') AS bare FROM outcomes),
+        labels AS (SELECT *, string_split(bare, '.') AS l, len(string_split(bare, '.')) AS k FROM bare),
+        named AS (SELECT *, regexp_matches(bare, '\A([0-9.]+|\[.*\])\z') OR k <= 1 AS whole,
+          CASE WHEN k >= 3 AND l[k - 1] IN ({second}) AND length(l[k]) = 2 THEN 3 ELSE 2 END AS keep FROM labels),
+        hosts AS (SELECT host, n, blocked, CASE WHEN whole THEN bare ELSE array_to_string(l[greatest(k - keep + 1, 1):k], '.') END AS domain,
+          CASE WHEN whole THEN '' ELSE array_to_string(l[greatest(k - keep + 2, 1):k], '.') END AS suffix FROM named),
+        domains0 AS (SELECT suffix, domain, sum(n) AS n_d, sum(blocked) AS k_d FROM hosts GROUP BY suffix, domain),
+        suffixes0 AS (SELECT suffix, sum(n_d) AS n_s, sum(k_d) AS k_s FROM domains0 GROUP BY suffix),
+        top AS (SELECT (coalesce(sum(k_s), 0) + 0.5) / (coalesce(sum(n_s), 0) + 1)::DOUBLE AS m, (coalesce(sum(n_s), 0) + 1)::DOUBLE AS c
+          FROM suffixes0),
+        suffixes1 AS (SELECT s.*, m, c FROM suffixes0 s, top),
+        {level("suffixes", "suffixes1", "n_s", "k_s")},
+        domains1 AS (SELECT d.*, s.m, s.c FROM domains0 d JOIN suffixes s USING (suffix)),
+        {level("domains", "domains1", "n_d", "k_d")},
+        hosts1 AS (SELECT h.*, d.m, d.c FROM hosts h JOIN domains d USING (suffix, domain)),
+        {level("rated", "hosts1", "n", "blocked")},
+        bounds AS (SELECT host, greatest(m - {z} * sqrt(a * b / (c * c * (c + 1))), 0) AS bound FROM rated)
+        SELECT page_id, p.host, path, r.rule AS rule, coalesce(r.verdict, CASE WHEN bound > {limit} THEN 'block' ELSE 'allow' END) AS verdict
+        FROM ruled p JOIN bounds b ON p.host = b.host"""
