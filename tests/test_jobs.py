@@ -117,3 +117,30 @@ def test_bounded_replay_query_takes_the_default_limit(spark):
     total = ledger(spark, SF_CHECK).count()
     assert total > 1000
     assert registry.queries()["w9_bounded_replay_choice"](spark, SF_CHECK).count() == min(total, DEFAULT_STREAM_LIMIT)
+
+
+def test_command_line_jobs_from_file_to_alerts(spark, tmp_dir):
+    """Load, analyse, train, evaluate, score, replay and consume, as their command lines are parsed."""
+    from txnscope import jobs
+    from txnscope.schema import TXN_COLUMNS
+    from txnscope.sources.ledger import ledger
+    ledger(spark, SF_SMALL).select(*TXN_COLUMNS).write.option("header", True).csv(f"{tmp_dir}/csv")
+
+    def job(*argv):
+        return jobs.run(spark, jobs.parser().parse_args([str(a) for a in argv]))
+    assert job("load", f"{tmp_dir}/csv", f"{tmp_dir}/db")["transactions"] == 1000
+    assert spark.read.parquet(f"{tmp_dir}/db/transaction_summary").agg({"total_count": "sum"}).first()[0] == 1000
+    txns = f"{tmp_dir}/db/transactions"
+    assert spark.read.parquet(job("analyse", txns, f"{tmp_dir}/results")["spark_type_stats"]).count() == 5
+    trained = job("train", txns, f"{tmp_dir}/models", "--models", "Logistic Regression", "--lr-iter", 10)
+    assert trained["best"] == "Logistic Regression"
+    made = job("evaluate", trained["model"], txns, f"{tmp_dir}/evaluation", "--threshold", 0.7)
+    assert spark.read.parquet(made["metrics"]).first()["threshold"] == 0.7
+    assert spark.read.parquet(job("score", trained["model"], txns, f"{tmp_dir}/scores")["scores"]).count() == 1000
+    assert spark.read.text(job("replay", txns, f"{tmp_dir}/few", "--limit", 10)["messages"]).count() == 10
+    job("replay", txns, f"{tmp_dir}/messages")
+    totals = job("consume", f"{tmp_dir}/messages", f"{tmp_dir}/stream", "--model", trained["model"], "--once")
+    assert totals["processed"] == 1000
+    alerts = spark.read.parquet(f"{tmp_dir}/stream/alerts").count()
+    assert alerts == totals["fraud_count"] == spark.read.parquet(f"{tmp_dir}/scores").where("prediction = 1").count()
+

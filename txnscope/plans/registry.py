@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnscope.functions import exact
 from txnscope.functions import features as fx
@@ -368,6 +369,21 @@ def _registry() -> dict[str, tuple[Query, str | None]]:
             "round(confidence * 100, 1) AS confidence_pct FROM alerts "
             "ORDER BY saved_at DESC, transaction_id DESC LIMIT 12")))
 
+    # F21 approximate: daily sketches stored once, merged over all days; ranks of the answers against all amounts.
+    def sketched(s, d):
+        from txnscope.session import materialize
+        days = materialize(me.quantile_sketches(_L(s, d).withColumn("day", F.to_date("ts")), ["day"], "amount"), "day-sketches")
+        probs = [0.1, 0.5, 0.9, 0.99]
+        q = me.sketch_quantiles(days, probs)
+        ranks = [(F.abs(F.count_if(F.col("amount") <= F.col(f"q{round(p * 100)}")) / F.count("*") - p) <= me.SKETCH_RANK_ERROR
+                  + F.max("share")).alias(f"q{round(p * 100)}_within") for p in probs]
+        # A value that many rows share spans ranks; its own share comes on top of the sketch's error.
+        shares = _L(s, d).groupBy("amount").agg(F.count("*").alias("m")).agg(F.max("m").alias("m"))
+        rows = _L(s, d).select("amount").join(F.broadcast(q)).join(F.broadcast(shares)).withColumn("share", F.col("m") / F.col("n"))
+        return rows.agg(F.first("n").alias("n"), *ranks)
+    r["f21_sketched_quantiles"] = (sketched, with_ledger(
+        "SELECT count(amount) AS n, true AS q10_within, true AS q50_within, true AS q90_within, true AS q99_within FROM ledger"))
+
     # --- metrics on the rule score -------------------------------------------------
     r["m7_classification_metrics"] = (
         lambda s, d: me.classification_metrics(_scored(s, d)),
@@ -496,6 +512,35 @@ def _add_stored(r: dict) -> None:
     r["k3_loaded_by_type"] = (loaded, with_ledger(
         "SELECT type, count(*) AS n, count(*) AS n_ids, max(amount) AS max_amount FROM ledger GROUP BY type"))
 
+    def documents(s, d):
+        path = f"{folder(s)}/documents"
+        R.write_documents(_L(s, d), path)
+        fields = T.StructType([f for f in _L(s, d).schema.fields if f.name in ("txn_id", "type", "amount", "isFraud", "ts")])
+        return R.read_documents(s, path, fields, where={"type": "TRANSFER"})
+    r["s4_exported_documents"] = (documents, with_ledger(
+        "SELECT txn_id, ts, type, amount, isFraud FROM ledger WHERE type = 'TRANSFER'"))
+
+    def reject_reasons(s, d):
+        """A file with wrong fields of several kinds among its rows; how often each set of reasons is given."""
+        base, kind = folder(s), F.col("txn_id") % 40
+        text = {n: F.col(n).cast("string") for n in TXN_COLUMNS}
+        text["amount"] = F.when(kind.isin(0, 3), F.lit("n/a")).otherwise(text["amount"])
+        text["step"] = F.when(kind.isin(1, 3), F.lit("1.5h")).otherwise(text["step"])
+        text["isFraud"] = F.when(kind == 2, F.lit("yes")).otherwise(text["isFraud"])
+        text["newbalanceOrig"] = F.when(kind == 4, F.lit("1,000.50")).otherwise(text["newbalanceOrig"])
+        text["oldbalanceDest"] = F.when(kind != 5, text["oldbalanceDest"])
+        _L(s, d).select(*[v.alias(n) for n, v in text.items()]).write.option("header", True).csv(f"{base}/csv")
+        out = R.load_transactions(s, f"{base}/csv", f"{base}/transactions", f"{base}/fraud", f"{base}/staging", f"{base}/rejects",
+                                  summary=f"{base}/summary")
+        kept = s.read.parquet(f"{base}/summary").agg(F.lit("accepted").alias("reasons"), F.sum("total_count").alias("n"))
+        return s.read.parquet(f"{base}/rejects").groupBy(F.array_join("reasons", "; ").alias("reasons")) \
+            .agg(F.count("*").alias("n")).unionByName(kept) if out["rejected"] else kept
+    r["k4_reject_reasons"] = (reject_reasons, with_ledger(
+        "SELECT CASE txn_id % 40 WHEN 0 THEN 'amount is no double: n/a' WHEN 1 THEN 'step is no int: 1.5h' "
+        "WHEN 2 THEN 'isFraud is no int: yes' WHEN 3 THEN 'step is no int: 1.5h; amount is no double: n/a' "
+        "WHEN 4 THEN 'newbalanceOrig is no double: 1,000.50' ELSE 'accepted' END AS reasons, count(*) AS n "
+        "FROM ledger GROUP BY 1"))
+
     def result_table(name):
         def run(s, d):
             out = batch_job.run_analyses(s, _L(s, d), folder(s), export=name == "cleaned")

@@ -70,6 +70,53 @@ def read_collection(spark: SparkSession, name: str, fmt: str | None = None,
     return df.drop("_id") if "_id" in df.columns else df
 
 
+#: Wrappers of numbers, instants and ids in exported documents (extended JSON).
+NUMBER_WRAPPERS = ("$numberInt", "$numberLong", "$numberDouble", "$numberDecimal")
+DATE_WRAPPER, ID_WRAPPER = "$date", "$oid"
+
+
+def unwrapped(raw: F.Column, kind: T.DataType) -> F.Column:
+    """A field of an exported document, given as the text of its JSON value, as ``kind``; null if it is none."""
+    inner = lambda key: F.get_json_object(raw, f"$['{key}']")                               # noqa: E731
+    wrapped = raw.startswith("{")
+    if isinstance(kind, T.StringType):
+        return F.when(wrapped, F.coalesce(inner(ID_WRAPPER), raw)).otherwise(raw)
+    if isinstance(kind, T.TimestampType):
+        millis = F.get_json_object(raw, f"$['{DATE_WRAPPER}']['$numberLong']")
+        return F.when(wrapped, F.coalesce(F.timestamp_millis(millis.try_cast("bigint")), inner(DATE_WRAPPER).try_cast(kind))) \
+            .otherwise(raw.try_cast(kind))
+    text = F.when(wrapped, F.coalesce(*[inner(k) for k in NUMBER_WRAPPERS])).otherwise(raw)
+    # A whole number may be written as 3.0.
+    return F.coalesce(text.try_cast(kind), text.try_cast("double").try_cast(kind)) if isinstance(kind, T.IntegralType) \
+        else text.try_cast(kind)
+
+
+def read_documents(spark: SparkSession, path: str, schema: T.StructType = TXN_SCHEMA,
+                   where: dict[str, str] | None = None) -> DataFrame:
+    """Documents of an exported collection, one extended-JSON object a line, with the fields of ``schema``.
+
+    Numbers, instants and ids may stand plain or wrapped ({"$numberDouble": "1.5"}); ``_id`` and fields that are not
+    asked for are not parsed.  ``where`` (field -> text) is a filter on plain text fields that the scan applies
+    itself, before other fields are read."""
+    raw = spark.read.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])).json(path)
+    for name, value in (where or {}).items():
+        raw = raw.where(F.col(name) == value)
+    return raw.select(*[unwrapped(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields])
+
+
+def write_documents(df: DataFrame, path: str, id_col: str = "txn_id") -> None:
+    """Export as extended JSON with wrapped numbers and an ``_id``, as a document store's own tool writes it."""
+    def wrap(f: T.StructField) -> F.Column:
+        key = {"int": "$numberInt", "bigint": "$numberLong", "double": "$numberDouble"}.get(f.dataType.simpleString())
+        if isinstance(f.dataType, T.TimestampType):
+            key, value = DATE_WRAPPER, F.date_format(F.to_utc_timestamp(f.name, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+        else:
+            value = F.col(f.name).cast("string")
+        return F.when(F.col(f.name).isNotNull(), F.struct(value.alias(key))).alias(f.name) if key else F.col(f.name)
+    oid = F.struct(F.substring(F.sha2(F.col(id_col).cast("string"), 256), 1, 24).alias(ID_WRAPPER)).alias("_id")
+    df.select(oid, *[wrap(f) for f in df.schema.fields]).write.mode("overwrite").json(path)
+
+
 # S8 ---------------------------------------------------------------------------
 def has_rows(spark: SparkSession, name_or_path: str) -> bool:
     """True when the table (catalog name or Parquet path) exists and is not
@@ -105,32 +152,44 @@ def split_valid(spark: SparkSession, csv_path: str,
     flag, and return (accepted, rejected, counts) over that staging table.
 
     One pass over the input; good rows survive bad ones (the bulk-insert
-    "keep going" behaviour), rejects keep their raw text, and the counts read
+    "keep going" behaviour), rejects keep their raw text and ``reasons``, one
+    for each field that is not of its declared type, and the counts read
     one column of the stored table.  (An ``Observation`` would save that read,
     but a session that has used one can no longer serialise fitted models.)
 
     Each row gets ``txn_id`` from its input split and place in it: a retried
     task gives the same numbers, and the stored table fixes them."""
-    schema = header_schema(spark, csv_path, TXN_COLUMNS).add(CORRUPT, T.StringType())
-    raw = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
+    declared = header_schema(spark, csv_path, TXN_COLUMNS)
+    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in declared.fields]).add(CORRUPT, T.StringType())
+    raw = (spark.read.schema(as_text).option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
            .option("columnNameOfCorruptRecord", CORRUPT).csv(csv_path))
-    raw = nan_as_null(raw.select(*TXN_COLUMNS, CORRUPT)).withColumn(ROW_ID, F.monotonically_increasing_id())
+    kinds = {f.name: f.dataType for f in declared.fields if f.name in TXN_COLUMNS}
+    typed = {n: F.col(n).try_cast(t) for n, t in kinds.items()}
+    wrong = [F.when(F.col(n).isNotNull() & typed[n].isNull(), F.concat(F.lit(f"{n} is no {kinds[n].simpleString()}: "), F.col(n)))
+             for n in TXN_COLUMNS if not isinstance(kinds[n], T.StringType)]
+    # A row of another number of fields has its text in the corrupt column; its fields are not looked at.
+    reasons = F.when(F.col(CORRUPT).isNotNull(), F.array(F.lit("another number of fields"))).otherwise(F.array_compact(F.array(*wrong)))
+    line = F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*[f.name for f in declared.fields])))
+    raw = raw.withColumn("reasons", reasons).withColumn(CORRUPT, F.when(F.size("reasons") > 0, line))
+    raw = nan_as_null(raw.select(*[typed[n].alias(n) for n in TXN_COLUMNS], CORRUPT, "reasons")) \
+        .withColumn(ROW_ID, F.monotonically_increasing_id())
     bad = F.col(CORRUPT).isNotNull()
     write_table(raw.withColumn("_rejected", bad.cast("int")), staging, partition_by=["_rejected"])
     staged = spark.read.parquet(staging)
     counts = staged.agg(F.count_if(F.col("_rejected") == 0).alias("accepted"),
                         F.count_if((F.col("_rejected") == 0) & (F.col("isFraud") == 1)).alias("fraud"),
                         F.count_if(F.col("_rejected") == 1).alias("rejected")).first().asDict()
-    accepted = staged.filter(F.col("_rejected") == 0).drop(CORRUPT, "_rejected")
-    rejected = staged.filter(F.col("_rejected") == 1).select(CORRUPT)
+    accepted = staged.filter(F.col("_rejected") == 0).drop(CORRUPT, "reasons", "_rejected")
+    rejected = staged.filter(F.col("_rejected") == 1).select(CORRUPT, "reasons")
     return accepted, rejected, counts
 
 
 def load_transactions(spark: SparkSession, csv_path: str, transactions: str, fraud_cases: str,
-                      staging: str, quarantine: str | None = None) -> dict:
+                      staging: str, quarantine: str | None = None, summary: str | None = None) -> dict:
     """Load the raw CSV into ``transactions`` and its fraud subset, skipping a
     table that already has rows (the whole load when both do).  Returns row
-    counts of what was written."""
+    counts of what was written.  ``summary`` names the per-type summary table,
+    made anew from the stored transactions."""
     have_txn, have_fraud = has_rows(spark, transactions), has_rows(spark, fraud_cases)
     if have_txn and have_fraud:
         return {"skipped": True, "transactions": 0, "fraud_cases": 0, "rejected": 0}
@@ -145,6 +204,10 @@ def load_transactions(spark: SparkSession, csv_path: str, transactions: str, fra
         out["fraud_cases"] = int(counts["fraud"])
     if quarantine:
         write_table(rejected, quarantine, mode="append")
+    if summary:
+        from txnscope.operators.analytics import transaction_summary
+        stored = spark.read.parquet(transactions) if "/" in transactions else spark.table(transactions)
+        write_table(transaction_summary(stored), summary)
     return out
 
 

@@ -310,7 +310,7 @@ def replay_messages(txns: DataFrame, out_dir: str | None, limit: int | None = No
     from txnscope.operators.analytics import first_n_by_hash
     from txnscope.sources.readers import encode_messages
     chosen = txns if limit is None else first_n_by_hash(txns, limit, id_col, seed)
-    messages = encode_messages(chosen, id_col)
+    messages = encode_messages(chosen, id_col, "ts" if "ts" in chosen.columns else None)
     if kafka:
         messages.write.format("kafka").options(**kafka).save()
     else:
