@@ -221,6 +221,36 @@ def test_fixed_text_is_template_without_an_article(spark):
     assert {r["text"] for r in got} == {f"Story {i}" for i in range(8)}
 
 
+def _texts(spark, rows):
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    return {r.page_id: r.text for r in wrappers.extract(df).collect()}
+
+
+def test_pages_with_and_without_an_article_on_one_host(spark):
+    rows = [(i, f"http://mixed.com/{i}", f"<nav>Menu</nav><article><p>{prose(7000 + i, 30)}</p></article><footer>Foot</footer>")
+            for i in range(20)]
+    rows.append((99, "http://mixed.com/old", f"<nav>Menu</nav><div><p>{prose(7099, 30)}</p></div><footer>Foot</footer>"))
+    got = _texts(spark, rows)
+    assert got[99] == prose(7099, 30) and all(got[i] == prose(7000 + i, 30) for i in range(20))
+
+
+def test_near_copies_and_recurring_headings_are_no_template(spark):
+    body = "".join(f"<p>{prose(7200 + j, 20)}</p>" for j in range(3))
+    rows = [(i, f"http://near.com/{i}", f"<article>{body}</article><aside>Visits: {i}</aside>") for i in range(6)]
+    rows += [(50 + i, f"http://cook.com/{i}", f"<article><h2>Ingredients</h2><p>{prose(7300 + i, 40)}</p><h2>Method</h2>"
+              f"<p>{prose(7400 + i, 40)}</p><p>Share this story</p></article>") for i in range(8)]
+    got = _texts(spark, rows)
+    assert all(got[i] == "\n".join(prose(7200 + j, 20) for j in range(3)) for i in range(6))
+    for i in range(8):
+        assert got[50 + i] == f"Ingredients\n{prose(7300 + i, 40)}\nMethod\n{prose(7400 + i, 40)}"
+
+
+@pytest.mark.parametrize("comment", ["<!-->", "<!--->", "<!-- x -->", "<!---->"])
+def test_empty_comments_hide_nothing(spark, comment):
+    got = _texts(spark, [(1, "http://c.com/", f"<article><p>before {comment} after</p><p>end</p></article>")])
+    assert got[1] == "before after\nend"
+
+
 def test_a_string_of_few_distinct_pages_is_no_template(spark):
     rows = [(i, "http://x.com/", f"<div><h1>Site</h1><p>Story {i}</p></div>" + "<h2>only here</h2>" * (i == 3)) for i in range(8)]
     rows += [(20 + i, "http://copies.com/", "<div><h1>Head</h1><p>Body</p></div>") for i in range(7)]

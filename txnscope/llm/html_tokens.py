@@ -29,7 +29,7 @@ ENDS_P = frozenset("address article aside blockquote details div dl fieldset fig
 
 _RAW = "|".join(RAW)
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
+    r"<!--(?:-?>|.*?(?:-->|\Z))"
     rf"|<({_RAW})(?=[\s/>])((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>|[^>]*>).*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"

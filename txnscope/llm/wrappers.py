@@ -345,8 +345,10 @@ class Matcher:
         return out
 
 
+#: Elements of headings.
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 #: Where a path lies: in article or main; in one that has or is in an element with a mark, read where a page has no
-#: other; outside, read on hosts without article and main; in an element that holds no main text.
+#: other; outside, read on pages without article and main; in an element that holds no main text.
 MAIN_TEXT, DOUBTFUL, OUTSIDE, NEVER = range(4)
 
 
@@ -357,7 +359,6 @@ class Reader:
         self.matcher, self.min_pages = Matcher(json.loads(wrapper) if wrapper else []), min_pages
         self.memo: dict[tuple[str, ...], int] = {}
         known = self.matcher.leaves
-        self.has_main = any(self.region(p) in (MAIN_TEXT, DOUBTFUL) for p in {tuple(n[1].split("/")) for n in known})
         # Each string that is an anchor: True or False if it is template at all or at none of its places, else None.
         self.anchors: dict[tuple[str, str], bool | None] = {}
         for n in known:
@@ -393,12 +394,28 @@ class Reader:
         return [not f for f in fixed]
 
     def read(self, page: str | None) -> str:
+        """Main text of a page: what is free in its article or main, or outside where the page has neither.
+
+        Headings inside an article or main are its own, however many pages have them.  Where under a tenth
+        of its words is free, the pages that share the others are copies of one article, and nothing is template."""
         found = list(blocks(page or ""))
-        got: dict[int, list[str]] = {}
+        got: dict[int, list[tuple[str, bool]]] = {}
+        has_main = False
         for (path, text), free in zip(found, self.free(found)):
-            if free:
-                got.setdefault(self.region(path), []).append(text)
-        return "\n".join(got.get(MAIN_TEXT) or got.get(DOUBTFUL) or (not self.has_main and got.get(OUTSIDE)) or ())
+            region = self.region(path)
+            inside = any(e.partition("[")[0] in MAIN or "role=main" in e for e in path)
+            has_main = has_main or inside
+            heading = inside and path[-1].partition("[")[0] in HEADINGS
+            got.setdefault(region, []).append((text, free or heading))
+        for region in (MAIN_TEXT, DOUBTFUL) if has_main else (OUTSIDE,):
+            own = got.get(region, [])
+            words = [len(t.split()) for t, _ in own]
+            kept = sum(n for n, (_, free) in zip(words, own) if free)
+            copies = has_main and kept * 10 < sum(words)
+            text = [t for t, free in own if free or copies]
+            if text:
+                return "\n".join(text)
+        return ""
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
