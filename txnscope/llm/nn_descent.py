@@ -200,7 +200,8 @@ def _nodes(rows: DataFrame, vectors: Vectors, most_ids: int, tables: Tables, see
 
 
 def parts_of(n: int, size: int) -> int:
-    return max(LEAST, -(-n // size))
+    """Parts for n nodes or queries; tiny tables have fewer, so that a part holds others to link to."""
+    return max(1, min(LEAST, n // 32), -(-n // size))
 
 
 def _group_links(nodes: DataFrame, vectors: Vectors, longest: float, k: int) -> DataFrame:
