@@ -33,3 +33,11 @@ def words_of(text: Column) -> Column:
 def text_bytes(df: DataFrame, col: str = "text") -> int:
     """Bytes of all texts; sizes blocks and shards so that they hold a fixed amount at any scale."""
     return df.select(F.coalesce(F.sum(F.octet_length(F.col(col)).cast("long")), F.lit(0))).first()[0]
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` has it (upper and lower case alike)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
