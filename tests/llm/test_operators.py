@@ -461,6 +461,37 @@ def test_range_cuts_do_not_change_successors(docs):
     assert few == many
 
 
+def test_one_id_or_null_may_fill_many_ranges(spark):
+    data = [(None if i % 3 == 0 else 5 if i % 3 == 1 else i, f"Text {i % 250}. " * (i % 7)) for i in range(600)]
+    df = spark.createDataFrame(data, "doc_id bigint, text string")
+    few, many = (sorted(map(str, multiset_hash.with_next(df, part_bytes=n).select("doc_id", "text", "next_text").collect()))
+                 for n in (1 << 30, 8000))
+    assert few == many and len(few) == 600
+
+
+def test_cuts_of_two_levels_split_a_heavy_id(spark):
+    keys = spark.range(2000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"),
+                                    F.xxhash64("id").alias("tie"), F.lit(1000).cast("bigint").alias("size"))
+    one, two = (multiset_hash._cuts(keys, 40, 1000, coarse=c) for c in (1000, 10))
+    assert len(one) == 39 and one.count(-1) == 13 and two == sorted(two) and 33 <= len(two) <= 45 and two.count(-1) >= 10
+
+
+def test_likeness_weighs_pieces_by_their_multiplicities(spark):
+    def dice(a, b):
+        a, b = collections.Counter(a), collections.Counter(b)
+        return 2 * sum(n * b[p] for p, n in a.items()) / sum(n * n for x in (a, b) for n in x.values())
+    r = np.random.default_rng(8)
+    cases = [(["same\n"] * 900, ["same\n"] * 600 + [f"{i}\n" for i in range(300)]),
+             ([f"{i}\n" for i in range(1000)], [f"{i}\n" for i in range(500, 1500)])]
+    cases += [tuple([f"{int(x)}\n" for x in r.integers(0, 60, 400)] for _ in range(2)) for _ in range(5)]
+    cases += [([f"{i}\n" for i in range(1_000_000)], [f"{i}\n" for i in range(250_000, 1_250_000)])]
+    df = spark.createDataFrame([(i, "".join(a), "".join(b)) for i, (a, b) in enumerate(cases)], "i int, a string, b string")
+    got = df.select("i", multiset_hash.likeness(multiset_hash.fingerprint(F.col("a")), multiset_hash.fingerprint(F.col("b")))).collect()
+    for i, x in got:
+        want = dice(*cases[i])
+        assert abs(x - want) < 4 * 0.127 * (1 - want) + 1e-9, (i, x, want)
+
+
 # --- 10 line frequency
 def brute_counts(t):
     t = t or ""
@@ -484,12 +515,14 @@ def test_frequent_lines_go_and_depleted_documents_are_rejected(spark, rows):
     shared = "Subscribe NOW to issue 17 of our letter"
     data = [(i, f"{prose(i, 30)}\n  {shared.lower() if i % 2 else shared}\n{prose(i + 1000, 30)}", "s") for i in range(40)]
     data += [(100, "\n".join([shared, prose(77, 25)]), "s"), (101, "\n".join([shared] * 4), "s"), (102, None, None)]
-    data += [(200 + i, prose(5000, 50), "s") for i in range(60)]           # exact copies count once
+    data += [(200 + i, prose(5000, 50), "s") for i in range(60)]           # copies are documents too
+    data += [(300 + i, prose(6000, 50), "s") for i in range(10)]           # ten are not above the limit
     df = spark.createDataFrame(data, "doc_id bigint, text string, source string")
     got = {r["doc_id"]: r for r in line_frequency.filter_lines(df, broadcast_rows=rows).collect()}
     assert all(got[i]["kept"] and shared.lower() not in got[i]["clean_text"].lower() and got[i]["words_left"] == 60 for i in range(40))
     assert got[100]["kept"] and not got[101]["kept"] and not got[102]["kept"]
-    assert all(got[200 + i]["kept"] and got[200 + i]["n_removed_lines"] == 0 for i in range(60))
+    assert not any(got[200 + i]["kept"] or got[200 + i]["words_left"] for i in range(60))
+    assert all(got[300 + i]["kept"] and got[300 + i]["n_removed_lines"] == 0 for i in range(10))
 
 
 @pytest.mark.parametrize("rows", [0, 100_000])
@@ -503,9 +536,25 @@ def test_the_limit_of_a_line_does_not_rise_with_the_source(spark, rows):
 
 
 def test_line_filter_on_clashing_and_empty_tables(docs, empty):
-    plain = docs.drop("kept")
-    assert line_frequency.filter_lines(plain).count() == len(TEXTS)
-    assert line_frequency.filter_lines(empty.drop("kept")).count() == 0
+    assert line_frequency.filter_lines(empty).count() == 0
+    theirs = ["_own", "_OWN", "__own", "_frequent", "_kept_lines", "_host_key", "_text_key", "_t", "_f", "_k"]
+    odd = docs.withColumns({c: F.lit(c) for c in theirs if c != "_OWN"}).withColumn("n_words", F.lit("mine"))
+    for rows in (0, 100_000):
+        got = line_frequency.filter_lines(odd, broadcast_rows=rows).collect()
+        assert len(got) == len(TEXTS) and all(r[c] == c for r in got for c in theirs if c != "_OWN")
+        assert {r["text"]: r["n_words"] for r in got} == {t: brute_counts(t)[0] for _, t, _ in TEXTS}
+
+
+def test_buckets_hold_each_frequent_line_once(spark):
+    found = spark.range(5000).select((F.col("id") % 3).cast("string").alias("host"), F.xxhash64("id").alias("line_hash"))
+    got = line_frequency.bucketed(found, ["host"], "b").collect()
+    want = collections.defaultdict(set)
+    for r in found.collect():
+        want[r["host"]].add(r["line_hash"])
+    for r in got:
+        n = len(r["b"])
+        assert n == len(want[r["host"]]) // 8 + 1 and {h for b in r["b"] for h in b} == want[r["host"]]
+        assert all(h % n == i for i, b in enumerate(r["b"]) for h in b) and max(map(len, r["b"])) < 40
 
 
 def test_blocks_supply_left_out_closing_tags():
