@@ -225,3 +225,30 @@ def test_registered_search_on_the_given_table(spark):
     want = brute_nearest(list(zip(table.vec_id, table.embedding)))
     got = got_nearest(queries()["op12_nearest_neighbours"](spark, SF_SMALL))
     assert set(got) == set(want) and recall(got, want) >= 0.9
+
+
+def test_rows_of_the_graph_and_search_follow_the_parts_not_the_nodes(spark, monkeypatch):
+    rows, store = {}, nn_descent.Tables.store
+
+    def counted(tables, df, name):
+        kept = store(tables, df, name)
+        rows.setdefault(name, []).append(kept.count())
+        return kept
+    monkeypatch.setattr(nn_descent.Tables, "store", counted)
+    frames = type(spark.range(0))                           # however many partitions number the nodes
+    monkeypatch.setattr(frames, "repartitionByRange", lambda df, n, *c, f=frames.repartitionByRange: f(df, max(n, 60), *c))
+    data = [(i, x) for i, x in enumerate(vectors(8, 2400, 8))]
+    got = got_nearest(nn_descent.nearest(frame(spark, data)))
+    assert recall(got, brute_nearest(data)) >= 0.99
+    parts = 16
+    made = {n: max(c) for n, c in rows.items() if n not in ("ann-classes", "ann-nodes", "ann-queries")}
+    assert made and max(made.values()) <= parts * (parts + 4) < 2400 / 4
+
+
+def test_largest_of_each_row():
+    s = np.random.default_rng(9).normal(0, 1, (50, 3001)).astype(np.float32)
+    s[3, 5:400] = 2.5                                       # equal numbers
+    for k, wide in ((7, s), (7, s[:, :60]), (60, s[:, :60])):
+        row, col = nn_descent.nearest_in_rows(wide, k)
+        assert np.array_equal(np.bincount(row), np.full(50, k)) and len(set(zip(row.tolist(), col.tolist()))) == 50 * k
+        assert np.array_equal(np.sort(wide[row, col].reshape(50, k)), np.sort(wide)[:, -k:])

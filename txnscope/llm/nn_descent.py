@@ -8,15 +8,23 @@ links inside a node's part and inside a random group of as many nodes.
 One round of NN-descent: every node samples its links, fresh and old ones,
 and is sampled by those that link to it (at most ``sample`` of each kind, by
 hash, trimmed before and after the shuffle, so a node that a third of all
-others link to costs no more than any other).  A part asks for the vectors of
-the nodes it has sampled, once each, by a join; neighbours of a common node are
+others link to costs no more than any other).  A part asks the others for the
+vectors of the nodes it has sampled, once each; neighbours of a common node are
 compared, and the best new links of each node go to its own part, where they
 meet its list.  Rounds end when few links change.
 
 A search keeps a beam of the best ``beam`` nodes for every query, all queries
-at once: a round joins the nodes to expand with their links, then the new
-nodes with their vectors.  It ends when no beam holds an unexpanded node.
-Queries that are indexed start at their own node, others at fixed entries.
+at once, in groups of up to ``GROUP``: a round asks the parts for the links of
+the nodes to expand, then sends each query's vector to the parts of its new
+nodes, which answer with the scores that can enter its beam.  Queries travel
+to the nodes and not nodes to the queries, since there are fewer of them.  It
+ends when no beam holds an unexpanded node.  Queries that are indexed start at
+their own node, others at fixed entries.
+
+Parts and groups talk by messages: a row carries many records of one kind, as
+the bytes of a numpy array, to one part.  Spark deals and stores a few large
+rows; a row or a list for every node or link would cost it several times what
+the comparisons cost.
 
 Links are compared after one more component is added that gives all vectors
 the longest one's length, so that inner products and distances agree; scores
@@ -32,12 +40,12 @@ are returned that the graph reaches.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from txnscope.llm.vectors import finite, matrix, usable
@@ -46,7 +54,11 @@ from txnscope.session import scratch_path
 #: Nodes of a part, and queries of a group: they bound what one task holds.  Small tables have LEAST parts and groups,
 #: so that they use a cluster's cores and their traffic grows with the rows.
 PART, GROUP, LEAST = 8192, 512, 16
-LIST = "node bigint, nbr array<bigint>, sim array<double>, fresh array<boolean>, added int, stored boolean"
+#: Nodes of a part and parts at most, as bits: two positions and a part make one key.
+BITS = 21
+#: Bytes of a message, and of the messages handed over together.
+CHUNK, BATCH = 1 << 21, 1 << 24
+MESSAGE = "home int, kind string, src int, n bigint, body binary"
 
 
 class Tables:
@@ -58,6 +70,8 @@ class Tables:
     def store(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, f"{name}-{uuid.uuid4().hex}")
         df.write.parquet(path)
+        # Shuffle files stay until the driver collects its garbage, which is little here.
+        self.spark._jvm.System.gc()
         old = self.kept.setdefault(name, [])
         old.append(path)
         if len(old) > 2:
@@ -76,11 +90,12 @@ class Tables:
 
 @dataclass(frozen=True)
 class Index:
-    """nodes (node, ids, vec), links (node, nbr) and the numbers that the search needs."""
+    """nodes (node, ids, vec), messages of the parts' vectors and links, and the numbers that the search needs."""
     nodes: DataFrame
+    held: DataFrame
     links: DataFrame
     vectors: Vectors
-    homes: Homes
+    parts: int
     entries: list[int]
     tables: Tables
 
@@ -91,6 +106,18 @@ class Vectors:
     dims: int
     kind: str                                                   # numpy's name of the number type
 
+    @property
+    def record(self) -> np.dtype:
+        return np.dtype([("node", "<i8"), ("vec", self.kind, (self.dims,))])
+
+    @property
+    def answer(self) -> np.dtype:
+        """A lifted vector with the least similarity that its node's list takes."""
+        return np.dtype([("node", "<i8"), ("worst", "<f4"), ("vec", "<f4", (self.dims + 1,))])
+
+    def records(self, node: np.ndarray, x: np.ndarray) -> np.ndarray:
+        return records(self.record, node, x)
+
     def pack(self, x: np.ndarray) -> pa.Array:
         x = np.ascontiguousarray(x, self.kind)
         size = self.dims * x.itemsize
@@ -103,23 +130,6 @@ class Vectors:
         return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].view(self.kind).reshape(-1, self.dims)
 
 
-@dataclass(frozen=True)
-class Homes:
-    """Which of ``parts`` parts a node belongs to, from its number; ``dealt`` is how many partitions numbered the nodes."""
-    parts: int
-    dealt: int
-
-    def of(self, node: np.ndarray) -> np.ndarray:
-        return ((node >> 32) * self.parts // self.dealt).astype(np.int32)
-
-    def column(self, node: str = "node") -> Column:
-        return F.call_function("div", F.shiftright(node, 32) * self.parts, F.lit(self.dealt)).cast("int")
-
-    def gather(self, df: DataFrame, at: Column) -> DataFrame:
-        """One partition for each part."""
-        return df.repartitionById(self.parts, at)
-
-
 def mixed(*numbers) -> np.ndarray:
     """A hash of whole numbers, the same in every task."""
     h = np.uint64(0x9E3779B97F4A7C15)
@@ -132,12 +142,49 @@ def mixed(*numbers) -> np.ndarray:
 
 
 def first_of(group: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
-    """Positions of the first ``most`` by ``order`` of each group, grouped and in order."""
-    at = np.lexsort((order, group))
-    g = group[at]
-    start = np.flatnonzero(np.r_[True, g[1:] != g[:-1]]) if len(g) else np.zeros(0, int)
-    rank = np.arange(len(g)) - np.repeat(start, np.diff(np.r_[start, len(g)]))
-    return at[rank < most]
+    """Positions of the first ``most`` by ``order`` (whole numbers under 2^40) of each group, grouped and in order."""
+    if not len(group):
+        return np.zeros(0, np.int64)
+    g = np.unique(group, return_inverse=True)[1]
+    at = np.argsort((g.astype(np.uint64) << np.uint64(40)) | order.astype(np.uint64))
+    return at[ranks(g[at]) < most]
+
+
+def ranks(group: np.ndarray) -> np.ndarray:
+    """Rank of each element in its run of equal numbers."""
+    start = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.zeros(0, int)
+    return np.arange(len(group)) - np.repeat(start, np.diff(np.r_[start, len(group)]))
+
+
+def distinct(numbers: np.ndarray) -> np.ndarray:
+    """Sorted distinct numbers (``np.unique`` hashes them, which takes many times a sort)."""
+    v = np.sort(numbers)
+    return v[np.r_[True, v[1:] != v[:-1]]] if len(v) else v
+
+
+def nearest_in_rows(s: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the ``k`` largest numbers of each row."""
+    blocks = s.shape[1] // 32
+    if blocks < 2 * k:
+        top = np.argpartition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k:]
+        return np.repeat(np.arange(len(s)), k), top.ravel()
+    # At least k numbers of a row reach the k-th largest of its blocks' largest.
+    most = s[:, :32 * blocks].reshape(len(s), 32, blocks).max(axis=1)
+    least = np.partition(most, blocks - k, axis=1)[:, blocks - k]
+    hit = np.flatnonzero(s >= least[:, None])
+    row, col = np.divmod(hit, s.shape[1])
+    top = first_of(row, falling(s.ravel()[hit]), k)
+    return row[top], col[top]
+
+
+def by_hash(*numbers) -> np.ndarray:
+    return mixed(*numbers) >> np.uint64(24)
+
+
+def falling(x: np.ndarray) -> np.ndarray:
+    """Whole numbers under 2^32 in the order of falling float32 numbers."""
+    b = np.ascontiguousarray(x, np.float32).view(np.uint32)
+    return ~np.where(b >> 31, ~b, b | np.uint32(1 << 31))
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -146,13 +193,6 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(column)), sizes), np.asarray(column.flatten().to_numpy(zero_copy_only=False))
 
 
-def lists(group: np.ndarray, *columns: tuple[np.ndarray, pa.DataType]) -> tuple[np.ndarray, list[pa.Array]]:
-    """Groups of sorted ``group`` and list columns of their values."""
-    start = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.zeros(0, int)
-    offsets = pa.array(np.r_[start, len(group)].astype(np.int32))
-    return group[start], [pa.ListArray.from_arrays(offsets, pa.array(c, t)) for c, t in columns]
-
-
 def lifted(x: np.ndarray, longest: float) -> np.ndarray:
     """Vectors over the longest one's length, with one more component that makes them all as long."""
     x = x.astype(np.float64) / longest
@@ -160,13 +200,119 @@ def lifted(x: np.ndarray, longest: float) -> np.ndarray:
     return np.c_[x, rest].astype(np.float32)
 
 
-def read_all(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
-    held = [b for b in batches if b.num_rows]
-    return pa.Table.from_batches(held).combine_chunks() if held else None
+# --- messages
+NODE = np.dtype([("node", "<i8")])
+GRAPH = np.dtype([("node", "<i8"), ("nbr", "<i8"), ("sim", "<f4"), ("fresh", "?")])
+MEMBER = np.dtype([("node", "<i8"), ("nbr", "<i8"), ("fresh", "?")])
+LINK = np.dtype([("node", "<i8"), ("nbr", "<i8")])
+WORST = np.dtype([("node", "<i8"), ("sim", "<f4")])
+BEAM = np.dtype([("q", "<u4"), ("node", "<i8"), ("sim", "<f8"), ("done", "?")])
+PAIR = np.dtype([("q", "<u4"), ("node", "<i8")])
+START = np.dtype([("q", "<i8"), ("node", "<i8")])
+HIT = np.dtype([("q", "<u4"), ("node", "<i8"), ("sim", "<f8")])
+
+
+def records(kind: np.dtype, *columns) -> np.ndarray:
+    out = np.empty(len(columns[0]), kind)
+    for name, values in zip(kind.names, columns, strict=True):
+        out[name] = values
+    return out
+
 
+def part_of(node: np.ndarray) -> np.ndarray:
+    return (node >> 32).astype(np.int32)
 
-def column(table: pa.Table, name: str) -> pa.Array:
-    return table.column(name).combine_chunks() if table.column(name).num_chunks != 1 else table.column(name).chunk(0)
+
+def position(node: np.ndarray) -> np.ndarray:
+    return node & 0xFFFFFFFF
+
+
+def pair_key(first: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """A number for a position or query and a node, in their order."""
+    return (first.astype(np.uint64) << np.uint64(2 * BITS)) | (part_of(node).astype(np.uint64) << np.uint64(BITS)) \
+        | position(node).astype(np.uint64)
+
+
+def node_of(key: np.ndarray) -> np.ndarray:
+    low = np.uint64((1 << BITS) - 1)
+    return (((key >> np.uint64(BITS)) & low) << np.uint64(32) | (key & low)).astype(np.int64)
+
+
+@dataclass(frozen=True)
+class Post:
+    """Records of a kind for a part or group; ``n`` is a number of its own."""
+    home: int
+    kind: str
+    body: np.ndarray
+    src: int = 0
+    n: int = 0
+
+
+def posts(kind: str, home: np.ndarray, body: np.ndarray, src: int = 0) -> Iterator[Post]:
+    """Records dealt to their homes, in messages of up to CHUNK bytes."""
+    at = np.argsort(home, kind="stable")
+    home = home[at]
+    step = max(1, CHUNK // body.dtype.itemsize)
+    cuts = np.r_[0, np.flatnonzero(home[1:] != home[:-1]) + 1, len(home)]
+    for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+        for a in range(lo, hi, step):
+            yield Post(int(home[lo]), kind, body.take(at[a:min(a + step, hi)]), src)
+
+
+def own(kind: str, home: int, body: np.ndarray, n: int = 0) -> Iterator[Post]:
+    """Records that stay in their part; at least one message."""
+    step = max(1, CHUNK // body.dtype.itemsize)
+    for a in range(0, max(1, len(body)), step):
+        yield Post(home, kind, body[a:a + step], home, 0 if a else n)
+
+
+def mailed(sent: Iterator[Post]) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+
+    def batch():
+        return pa.RecordBatch.from_arrays(
+            [pa.array([p[0] for p in held], pa.int32()), pa.array([p[1] for p in held], pa.string()),
+             pa.array([p[2] for p in held], pa.int32()), pa.array([p[3] for p in held], pa.int64()),
+             pa.array([p[4] for p in held], pa.binary())], names=["home", "kind", "src", "n", "body"])
+    for p in sent:
+        held.append((p.home, p.kind, p.src, p.n, p.body.tobytes()))
+        size += len(held[-1][-1])
+        if size > BATCH:
+            yield batch()
+            held, size = [], 0
+    if held:
+        yield batch()
+
+
+class Mail:
+    """What a part or group has received."""
+
+    def __init__(self, batches: Iterator[pa.RecordBatch]):
+        self.home, self.held = None, {}
+        for b in batches:
+            for home, kind, src, body in zip(*[b.column(n).to_pylist() for n in ("home", "kind", "src", "body")], strict=True):
+                self.home = home
+                self.held.setdefault(kind, []).append((src, body))
+
+    def take(self, kind: str, dtype: np.dtype) -> np.ndarray:
+        return self.taken(kind, dtype)[0]
+
+    def taken(self, kind: str, dtype: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+        """All records of a kind, and the sender of each."""
+        got = self.held.pop(kind, [])
+        if not got:
+            return np.zeros(0, dtype), np.zeros(0, np.int32)
+        sizes = [len(body) // dtype.itemsize for _, body in got]
+        return np.frombuffer(b"".join(body for _, body in got), dtype), np.repeat([src for src, _ in got], sizes)
+
+
+def exchanged(df: DataFrame, parts: int, fn: Callable[[int, Mail], Iterator[Post]]) -> DataFrame:
+    """Messages brought to their homes, and what ``fn`` sends from there."""
+    def run(batches):
+        mail = Mail(batches)
+        if mail.home is not None:
+            yield from mailed(fn(mail.home, mail))
+    return df.repartitionById(parts, F.col("home")).mapInArrow(run, MESSAGE)
 
 
 # --- nodes
@@ -196,7 +342,15 @@ def _nodes(rows: DataFrame, vectors: Vectors, most_ids: int, tables: Tables, see
 
     keyed = classes.mapInArrow(coded, f"ids {ids}, vec binary, code int").withColumn("tie", F.xxhash64(F.col("ids")[0]))
     dealt = keyed.repartitionByRange(parts_of(n, PART), "code", "tie").sortWithinPartitions("code", "tie", F.col("ids")[0])
-    return tables.store(dealt.select("ids", "vec").mapInArrow(numbered, f"node bigint, ids {ids}, vec binary"), "ann-nodes")
+    dealt = tables.store(dealt.select("ids", "vec").mapInArrow(numbered, f"node bigint, ids {ids}, vec binary"), "ann-nodes")
+    # Parts of equal size, however many partitions numbered the nodes and however even they are.
+    part = F.shiftright("node", 32).cast("int")
+    counts = {r[0]: r[1] for r in dealt.groupBy(part).count().collect()}
+    before = np.cumsum([0] + [counts.get(p, 0) for p in range(max(counts, default=0))]).tolist()
+    parts = parts_of(n, PART)
+    size = F.lit(max(1, -(-n // parts))).cast("bigint")
+    order = F.get(F.lit(before).cast("array<bigint>"), part) + F.col("node").bitwiseAND(F.lit(0xFFFFFFFF))
+    return dealt.withColumn("node", F.shiftleft(F.call_function("div", order, size), 32) + order % size)
 
 
 def parts_of(n: int, size: int) -> int:
@@ -204,148 +358,138 @@ def parts_of(n: int, size: int) -> int:
     return max(1, min(LEAST, n // 32), -(-n // size))
 
 
-def _group_links(nodes: DataFrame, vectors: Vectors, longest: float, k: int) -> DataFrame:
-    """Best k links of each node to others in its partition of ``nodes``."""
-    def best(batches):
-        t = read_all(batches)
-        if t is None:
-            return
-        number, x = column(t, "node").to_numpy(), lifted(vectors.unpack(column(t, "vec")), longest)
+def _vector_mail(nodes: DataFrame, vectors: Vectors, kind: str, home: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """Vectors for the parts that ``home`` names."""
+    def send(batches):
+        def sent():
+            for b in batches:
+                node = b.column("node").to_numpy()
+                yield from posts(kind, home(node), vectors.records(node, vectors.unpack(b.column("vec"))))
+        yield from mailed(sent())
+    return nodes.select("node", "vec").mapInArrow(send, MESSAGE)
+
+
+def _first_links(vectors: Vectors, longest: float, k: int):
+    """The best k links of each node to others of its part (v), and as many of its random group (o)."""
+    def best(number: np.ndarray, x: np.ndarray) -> Iterator[Post]:
         k_here = min(k, len(x) - 1)
         if k_here < 1:
             return
         for lo in range(0, len(x), 512):
             s = x[lo:lo + 512] @ x.T
             s[np.arange(len(s)), np.arange(lo, lo + len(s))] = -np.inf
-            top = np.argpartition(-s, k_here - 1, axis=1)[:, :k_here]
-            yield _list_rows(np.repeat(number[lo:lo + 512], k_here), number[top.ravel()],
-                             np.take_along_axis(s, top, 1).ravel())
-
-    return nodes.select("node", "vec").mapInArrow(best, LIST)
-
+            row, col = nearest_in_rows(s, k_here)
+            found = records(GRAPH, number[lo + row], number[col], s[row, col], True)
+            yield from posts("p", part_of(found["node"]), found)
 
-def _list_rows(node, nbr, sim, fresh=None, added=None, stored=False) -> pa.RecordBatch:
-    """Rows of LIST; ``node`` is sorted."""
-    fresh = np.ones(len(node), bool) if fresh is None else fresh
-    own, cols = lists(node, (nbr, pa.int64()), (sim.astype(np.float64), pa.float64()), (fresh, pa.bool_()))
-    counts = np.zeros(len(own), np.int32) if added is None else np.add.reduceat(
-        added.astype(np.int32), np.flatnonzero(np.r_[True, node[1:] != node[:-1]])) if len(own) else []
-    return pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), *cols, pa.array(counts, pa.int32()),
-                                       pa.array([stored] * len(own), pa.bool_())],
-                                      names=["node", "nbr", "sim", "fresh", "added", "stored"])
+    def start(home: int, mail: Mail) -> Iterator[Post]:
+        for kind in ("v", "o"):
+            held = mail.take(kind, vectors.record)
+            held = held.take(np.argsort(held["node"]))
+            yield from best(held["node"], lifted(held["vec"], longest))
+    return start
 
 
 def _sampled(node: np.ndarray, nbr: np.ndarray, fresh: np.ndarray, turn: int, sample: int) -> np.ndarray:
     """Links that a node takes into this round: up to ``sample`` fresh and as many old ones."""
-    chosen = first_of(node.astype(np.int64) * 2 + fresh, mixed(node, nbr, turn), sample)
     mask = np.zeros(len(node), bool)
-    mask[chosen] = True
+    mask[first_of(node * 2 + fresh, by_hash(node, nbr, turn), sample)] = True
     return mask
 
 
-def _merged(found: DataFrame, homes: Homes, k: int, turn: int, sample: int) -> DataFrame:
-    """Each node's best k links of its stored list and the new ones; links sampled in ``turn`` are no longer fresh."""
-    def merge(batches):
-        t = read_all(batches)
-        if t is None:
-            return
-        row, nbr = flat(column(t, "nbr"))
-        sim, fresh = flat(column(t, "sim"))[1], flat(column(t, "fresh"))[1].astype(bool)
-        node, stored = column(t, "node").to_numpy()[row], np.asarray(column(t, "stored").to_numpy(False))[row]
-        if stored.any():
-            mask = np.zeros(len(node), bool)
-            mask[stored] = _sampled(node[stored], nbr[stored], fresh[stored], turn, sample)
-            fresh = fresh & ~mask
-        at = np.lexsort((-sim, ~stored, nbr, node))                        # a stored link comes before its repetitions
-        node, nbr, sim, fresh, stored = (v[at] for v in (node, nbr, sim, fresh, stored))
-        once = np.r_[True, (node[1:] != node[:-1]) | (nbr[1:] != nbr[:-1])]
-        node, nbr, sim, fresh, stored = (v[once] for v in (node, nbr, sim, fresh, stored))
-        at = np.lexsort((nbr, -sim, node))
-        node = node[at]
-        start = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
-        rank = np.arange(len(node)) - np.repeat(start, np.diff(np.r_[start, len(node)]))
-        at = at[rank < k]
-        yield _list_rows(node[rank < k], nbr[at], sim[at], fresh[at], ~stored[at], True)
-
-    return homes.gather(found, homes.column()).mapInArrow(merge, LIST)
-
-
-def _members(graph: DataFrame, homes: Homes, turn: int, sample: int) -> DataFrame:
-    """(home, center, member, fresh): whom a node brings together; with a null center the members that a part asks for."""
-    kind = "home int, center bigint, member array<bigint>, fresh array<boolean>"
-
-    def rows(center, member, fresh):
-        """Rows of sorted ``center`` with lists."""
-        own, cols = lists(center, (member, pa.int64()), (fresh, pa.bool_()))
-        return pa.RecordBatch.from_arrays([pa.array(homes.of(own), pa.int32()), pa.array(own, pa.int64()), *cols],
-                                          names=["home", "center", "member", "fresh"])
-
-    def both_ways(batches):
-        for b in batches:
-            row, nbr = flat(b.column("nbr"))
-            fresh, node = flat(b.column("fresh"))[1].astype(bool), b.column("node").to_numpy()[row]
-            use = _sampled(node, nbr, fresh, turn, sample)
-            node, nbr, fresh = node[use], nbr[use], fresh[use]
-            yield rows(node, nbr, fresh)                        # the lists of a batch are grouped by node
-            back = first_of(nbr * 2 + fresh, mixed(nbr, node, turn, 7), sample)
-            yield rows(nbr[back], node[back], fresh[back])
-
-    def last(batches):
-        t = read_all(batches)
-        if t is None:
-            return
-        row, member = flat(column(t, "member"))
-        center, fresh = column(t, "center").to_numpy()[row], flat(column(t, "fresh"))[1].astype(bool)
-        at = np.lexsort((~fresh, member, center))
-        center, member, fresh = center[at], member[at], fresh[at]
-        once = np.r_[True, (center[1:] != center[:-1]) | (member[1:] != member[:-1])]
-        center, member, fresh = center[once], member[once], fresh[once]
-        keep = np.sort(first_of(center * 2 + fresh, mixed(center, member, turn, 7), 2 * sample))
-        center, member, fresh = center[keep], member[keep], fresh[keep]
-        yield rows(center, member, fresh)
-        # A part asks by the lists of a few thousand nodes each.
-        asked = np.unique(member)
-        cuts = [asked[lo:lo + 4096] for lo in range(0, len(asked), 4096)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(cuts), homes.of(center[:1])[0]), pa.int32()), pa.nulls(len(cuts), pa.int64()),
-             pa.array(cuts, pa.list_(pa.int64())), pa.nulls(len(cuts), pa.list_(pa.bool_()))],
-            names=["home", "center", "member", "fresh"])
-
-    return homes.gather(graph.select("node", "nbr", "fresh").mapInArrow(both_ways, kind), F.col("home")).mapInArrow(last, kind)
-
-
-def _compared(members: DataFrame, nodes: DataFrame, graph: DataFrame, homes: Homes, vectors: Vectors, longest: float,
-              k: int, per_part: int) -> DataFrame:
-    """The best new links, up to ``per_part`` of a node from each part, among nodes that a center brings together."""
-    worst = graph.select(F.col("node").alias("asked"), F.coalesce(F.get("sim", F.lit(k - 1)), F.lit(-9.0)).alias("worst"))
-    asked = members.where("center is null").select("home", F.explode("member").alias("asked")) \
-        .join(nodes.select(F.col("node").alias("asked"), "vec"), "asked").join(worst, "asked")
-    work = asked.unionByName(members.where("center is not null"), allowMissingColumns=True)
-
-    def best(u, w, s, m):
-        at = np.lexsort((-s, u * m + w))
-        u, w, s = u[at], w[at], s[at]
-        once = np.r_[True, (u[1:] != u[:-1]) | (w[1:] != w[:-1])]
-        u, w, s = u[once], w[once], s[once]
-        top = first_of(u, -s, per_part)
-        return u[top], w[top], s[top]
-
-    def compare(batches):
-        t = read_all(batches)
-        if t is None:
-            return
-        known = np.asarray(column(t, "asked").is_valid())
-        there, mine = t.filter(pa.array(known)).combine_chunks(), t.filter(pa.array(~known)).combine_chunks()
-        ids = column(there, "asked").to_numpy()
+def _merged(k: int, turn: int, sample: int):
+    """Each node's best k links of its list (g) and the new ones (p), and what it samples in ``turn``: its links (f, to
+    its part), itself (r, to its links' parts) and its list's worst (w).  Sampled links are no longer fresh."""
+    def merge(home: int, mail: Mail) -> Iterator[Post]:
+        old, new = mail.take("g", GRAPH), mail.take("p", GRAPH)
+        both = np.concatenate([old, new])
+        stored = np.arange(len(both)) < len(old)
+        # A stored link comes before its repetitions.
+        key = (pair_key(position(both["node"]), both["nbr"]) << np.uint64(1)) | (~stored).astype(np.uint64)
+        at = np.argsort(key)
+        key = key[at] >> np.uint64(1)
+        at = at[np.r_[True, key[1:] != key[:-1]]] if len(at) else at
+        both, stored = both.take(at), stored[at]
+        top = first_of(both["node"], falling(both["sim"]), k)
+        graph, added = both.take(top), int((~stored[top]).sum())
+        node, nbr, fresh = (np.ascontiguousarray(graph[c]) for c in ("node", "nbr", "fresh"))
+        use = _sampled(node, nbr, fresh, turn, sample)
+        graph["fresh"] &= ~use
+        yield from own("g", home, graph, added)
+        last = np.flatnonzero(ranks(node) == k - 1)
+        yield from own("w", home, records(WORST, node[last], graph["sim"][last]))
+        node, nbr, fresh = node[use], nbr[use], fresh[use]
+        yield from own("f", home, records(MEMBER, node, nbr, fresh))
+        back = first_of(nbr * 2 + fresh, by_hash(nbr, node, turn, 7), sample)
+        yield from posts("r", part_of(nbr[back]), records(MEMBER, nbr[back], node[back], fresh[back]))
+    return merge
+
+
+def _members(turn: int, sample: int):
+    """Whom each node brings together (m), and the nodes whose vectors a part asks for (a)."""
+    def meet(home: int, mail: Mail) -> Iterator[Post]:
+        both = np.concatenate([mail.take("f", MEMBER), mail.take("r", MEMBER)])
+        at = np.argsort((pair_key(position(both["node"]), both["nbr"]) << np.uint64(1)) | (~both["fresh"]).astype(np.uint64))
+        both = both.take(at)
+        if len(both):
+            both = both[np.r_[True, (both["node"][1:] != both["node"][:-1]) | (both["nbr"][1:] != both["nbr"][:-1])]]
+        node, nbr, fresh = (np.ascontiguousarray(both[c]) for c in ("node", "nbr", "fresh"))
+        both = both.take(np.sort(first_of(node * 2 + fresh, by_hash(node, nbr, turn, 7), 2 * sample)))
+        yield from own("m", home, both)
+        yield from own("w", home, mail.take("w", WORST))
+        asked = distinct(both["nbr"])
+        yield from posts("a", part_of(asked), records(NODE, asked), home)
+    return meet
+
+
+def _answers(vectors: Vectors, longest: float):
+    """The vectors that others ask for, with the worst link of their nodes (x)."""
+    def answer(home: int, mail: Mail) -> Iterator[Post]:
+        held, worst = mail.take("v", vectors.record), mail.take("w", WORST)
+        x = np.empty((len(held), vectors.dims + 1), np.float32)
+        x[position(held["node"])] = lifted(held["vec"], longest)
+        least = np.full(len(held), -9.0, np.float32)
+        least[position(worst["node"])] = worst["sim"]
+        yield from own("m", home, mail.take("m", MEMBER))
+        asked, src = mail.taken("a", NODE)
+        node = asked["node"]
+        at = np.argsort(src, kind="stable")
+        step = max(1, CHUNK // vectors.answer.itemsize)
+        for lo in range(0, len(at), step):
+            part = at[lo:lo + step]
+            where = position(node[part])
+            yield from posts("x", src[part], records(vectors.answer, node[part], least[where], x[where]))
+    return answer
+
+
+def _compared(vectors: Vectors, per_part: int):
+    """The best new links, up to ``per_part`` of a node from each part, among nodes that a node brings together (p)."""
+    def compare(home: int, mail: Mail) -> Iterator[Post]:
+        members, there = mail.take("m", MEMBER), mail.take("x", vectors.answer)
+        ids, x, bar = np.ascontiguousarray(there["node"]), there["vec"], np.ascontiguousarray(there["worst"])
         at = np.argsort(ids)
-        ids, worst = ids[at], column(there, "worst").to_numpy()[at]
-        x = lifted(vectors.unpack(column(there, "vec"))[at], longest)
-        row, who = flat(column(mine, "member"))
-        c, who, fresh = row, np.searchsorted(ids, who), flat(column(mine, "fresh"))[1].astype(bool)
-        start = np.flatnonzero(np.r_[True, c[1:] != c[:-1]]) if len(c) else np.zeros(0, int)
-        sizes = np.diff(np.r_[start, len(c)])
-        held, waiting = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)], 0
-        chunks: list[list[np.ndarray]] = []
+        center, fresh = np.ascontiguousarray(members["node"]), np.ascontiguousarray(members["fresh"])
+        who = at[np.searchsorted(ids, members["nbr"], sorter=at)] if len(ids) else np.zeros(0, int)
+        start = np.flatnonzero(np.r_[True, center[1:] != center[:-1]]) if len(center) else np.zeros(0, int)
+        sizes = np.diff(np.r_[start, len(center)])
+        none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)
+        held, chunks, waiting = none, [], 0
+
+        def best(u, w, s):
+            key = u * len(ids) + w
+            order = np.argsort(key)
+            key = key[order]
+            order = order[np.r_[True, key[1:] != key[:-1]]] if len(order) else order
+            u, w, s = u[order], w[order], s[order]
+            order = np.argsort((u.astype(np.uint64) << np.uint64(32)) | falling(s))
+            u = u[order]
+            rank = ranks(u)
+            keep = order[rank < per_part]
+            # What cannot be among a node's best any more need not be looked at.
+            full = rank == per_part - 1
+            bar[u[full]] = np.maximum(bar[u[full]], s[order[full]])
+            return u[rank < per_part], w[keep], s[keep]
+
         for lo in range(0, len(start), 128):
             size = sizes[lo:lo + 128]
             width = int(size.max())
@@ -353,51 +497,40 @@ def _compared(members: DataFrame, nodes: DataFrame, graph: DataFrame, homes: Hom
             r, col = np.repeat(np.arange(len(size)), size), np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             part = slice(start[lo], start[lo] + size.sum())
             idx[r, col], new[r, col] = who[part], fresh[part]
-            there = x[idx]
-            s = there @ there.transpose(0, 2, 1)
-            ok = s > np.where(idx < 0, np.inf, worst[idx])[:, :, None]
-            ok &= (new[:, :, None] | new[:, None, :]) & (idx[:, :, None] != idx[:, None, :]) & (idx >= 0)[:, None, :]
-            a, i, j = np.nonzero(ok)
-            chunks.append([idx[a, i], idx[a, j], s[a, i, j].astype(np.float64)])
-            waiting += len(a)
-            if waiting > 2_000_000:
-                held, chunks, waiting = best(*[np.concatenate(v) for v in zip(held, *chunks, strict=True)], len(ids)), [], 0
-        u, w, s = best(*[np.concatenate(v) for v in zip(held, *chunks, strict=True)], len(ids))
-        for lo in range(0, len(u), 1 << 18):
-            yield _list_rows(ids[u[lo:lo + (1 << 18)]], ids[w[lo:lo + (1 << 18)]], s[lo:lo + (1 << 18)])
-
-    return homes.gather(work, F.col("home")).mapInArrow(compare, LIST)
-
-
-def _links(graph: DataFrame, homes: Homes, k: int) -> DataFrame:
-    """(node, nbr): each node's own links and the best k of those that link to it."""
-    kind = "node bigint, nbr array<bigint>, sim array<double>"
-
-    def best(node, nbr, sim):
-        top = first_of(node, -sim, k)
-        own, cols = lists(node[top], (nbr[top], pa.int64()), (sim[top], pa.float64()))
-        return pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), *cols], names=["node", "nbr", "sim"])
-
-    def back(batches):
-        for b in batches:
-            row, nbr = flat(b.column("nbr"))
-            yield best(nbr, b.column("node").to_numpy()[row], flat(b.column("sim"))[1])
-
-    def join(batches):
-        t = read_all(batches)
-        if t is None:
-            return
-        row, nbr = flat(column(t, "nbr"))
-        node, sim = column(t, "node").to_numpy()[row], flat(column(t, "sim"))[1]
-        own = np.asarray(column(t, "own").to_numpy(False)).astype(bool)[row]
-        top = np.r_[np.flatnonzero(own), np.flatnonzero(~own)[first_of(node[~own], -sim[~own], k)]]
-        pair = np.unique(np.c_[node[top], nbr[top]], axis=0)
-        number, cols = lists(pair[:, 0], (pair[:, 1], pa.int64()))
-        yield pa.RecordBatch.from_arrays([pa.array(number, pa.int64()), *cols], names=["node", "nbr"])
-
-    lists_in = graph.select("node", "nbr", "sim")
-    both = lists_in.withColumn("own", F.lit(True)).unionByName(lists_in.mapInArrow(back, kind).withColumn("own", F.lit(False)))
-    return homes.gather(both, homes.column()).mapInArrow(join, "node bigint, nbr array<bigint>")
+            near = x[idx]
+            near[idx < 0] = np.nan                                  # a place without a member is near to none
+            s = near @ near.transpose(0, 2, 1)
+            s[:, np.arange(width), np.arange(width)] = np.nan
+            ok = s > bar[idx][:, :, None]
+            ok &= new[:, :, None] | new[:, None, :]
+            hit = np.flatnonzero(ok)
+            a, ij = np.divmod(hit, width * width)
+            i, j = np.divmod(ij, width)
+            chunks.append((idx[a, i], idx[a, j], s.ravel()[hit]))
+            waiting += len(hit)
+            if waiting > 500_000:
+                held, chunks, waiting = best(*[np.concatenate(v) for v in zip(held, *chunks, strict=True)]), [], 0
+        u, w, s = best(*[np.concatenate(v) for v in zip(held, *chunks, strict=True)])
+        yield from posts("p", part_of(ids[u]), records(GRAPH, ids[u], ids[w], s, True))
+    return compare
+
+
+def _links(graph: DataFrame, parts: int, k: int) -> DataFrame:
+    """Each node's own links and the best k of those that link to it (l, by node)."""
+    def turned(home: int, mail: Mail) -> Iterator[Post]:
+        graph = mail.take("g", GRAPH)
+        yield from own("g", home, graph)
+        back = first_of(graph["nbr"], falling(graph["sim"]), k)
+        yield from posts("b", part_of(graph["nbr"][back]),
+                         records(GRAPH, graph["nbr"][back], graph["node"][back], graph["sim"][back], False))
+
+    def join(home: int, mail: Mail) -> Iterator[Post]:
+        links, back = mail.take("g", GRAPH), mail.take("b", GRAPH)
+        back = back.take(first_of(back["node"], falling(back["sim"]), k))
+        key = distinct(pair_key(position(np.r_[links["node"], back["node"]]), np.r_[links["nbr"], back["nbr"]]))
+        node = (key >> np.uint64(2 * BITS)).astype(np.int64) + (home << 32)
+        yield from own("l", home, records(LINK, node, node_of(key)))
+    return exchanged(exchanged(graph.where("kind = 'g'"), parts, turned), parts, join)
 
 
 def packed(rows: DataFrame, vectors: Vectors) -> DataFrame:
@@ -431,107 +564,149 @@ def build(df: DataFrame, key: str = "vec_id", vec: str = "embedding", k: int = 4
         .agg(F.count("*").alias("n"), F.max("node").alias("last"), F.max("size").alias("longest")).first()
     if not about["n"]:
         return None
-    homes, longest = Homes(parts_of(about["n"], PART), (about["last"] >> 32) + 1), about["longest"]
-    near = homes.gather(nodes, homes.column())
-    anyone = homes.gather(nodes, F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(homes.parts)).cast("int"))
-    start = _group_links(near, vectors, longest, k // 2).unionByName(_group_links(anyone, vectors, longest, k // 2))
-    graph = tables.store(_merged(start, homes, k, -1, sample), "ann-graph")
+    parts, longest = (about["last"] >> 32) + 1, about["longest"]
+    held = tables.store(_vector_mail(nodes, vectors, "v", part_of), "ann-vectors")
+    anyone = _vector_mail(nodes, vectors, "o", lambda node: (mixed(node, seed) % np.uint64(parts)).astype(np.int32))
+    found = exchanged(held.unionByName(anyone), parts, _first_links(vectors, longest, k // 2))
+    graph = tables.store(exchanged(found, parts, _merged(k, 0, sample)), "ann-graph")
     for turn in range(rounds):
-        members = tables.store(_members(graph, homes, turn, sample), "ann-members")
-        found = _compared(members, nodes, graph, homes, vectors, longest, k, per_part)
-        graph = tables.store(_merged(graph.unionByName(found), homes, k, turn, sample), "ann-graph")
-        changed = graph.agg(F.coalesce(F.sum("added"), F.lit(0))).first()[0]
+        members = exchanged(graph.where("kind in ('f', 'r', 'w')"), parts, _members(turn, sample))
+        answers = exchanged(members.unionByName(held), parts, _answers(vectors, longest))
+        found = exchanged(answers, parts, _compared(vectors, per_part))
+        both = found.unionByName(graph.where("kind = 'g'"))
+        graph = tables.store(exchanged(both, parts, _merged(k, turn + 1, sample)), "ann-graph")
+        changed = graph.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
         if changed <= settled * k * about["n"]:
             break
-    links = tables.store(_links(graph, homes, k), "ann-links")
-    tables.clear("ann-members", "ann-graph", "ann-classes")
+    links = tables.store(_links(graph, parts, k), "ann-links")
+    tables.clear("ann-graph", "ann-classes")
     entries = [r.node for r in nodes.select("node").orderBy(F.xxhash64("node", F.lit(seed + 1))).limit(n_entries).collect()]
-    return Index(nodes, links, vectors, homes, entries, tables)
+    return Index(nodes, held, links, vectors, parts, entries, tables)
 
 
 # --- search
-def _search(index: Index, queries: DataFrame, beam: int, expand: int) -> DataFrame:
-    """queries (q, vec, start): state (q, ids, sims) with the best ``beam`` nodes of each, best first."""
-    tables, vectors = index.tables, index.vectors
-    groups = Homes(parts_of(queries.count(), GROUP), 1)
-    state = "home int, q bigint, qvec binary, ids array<bigint>, sims array<double>, done array<boolean>, want array<bigint>, ask bigint"
-    names = ["home", "q", "qvec", "ids", "sims", "done", "want", "ask"]
-    types = {"ids": pa.list_(pa.int64()), "sims": pa.list_(pa.float64()), "done": pa.list_(pa.bool_()),
-             "want": pa.list_(pa.int64())}
-
-    def emit(where, q, qvec, ids, sims, done, want):
-        """States with what they wait for, then each wanted node once."""
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([where] * len(q), pa.int32()), q, qvec, *[pa.array(v, types[n]) for n, v in
-             (("ids", ids), ("sims", sims), ("done", done), ("want", want))], pa.nulls(len(q), pa.int64())], names=names)
-        asked = np.unique(np.concatenate(want)) if len(want) else []
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([where] * len(asked), pa.int32()), pa.nulls(len(asked), pa.int64()), pa.nulls(len(asked), qvec.type),
-             *[pa.nulls(len(asked), types[n]) for n in ("ids", "sims", "done", "want")], pa.array(asked, pa.int64())],
-            names=names)
-
-    def parted(t):
-        mine = np.asarray(column(t, "q").is_valid())
-        return t.filter(pa.array(mine)).combine_chunks(), t.filter(pa.array(~mine)).combine_chunks()
-
-    def score(batches):
-        t = read_all(batches)
-        if t is None:
-            return
-        mine, there = parted(t)
-        number = column(there, "ask").to_numpy()
-        at = np.argsort(number)
-        number = number[at]
-        x = vectors.unpack(column(there, "vec"))[at]
-        qvec, out = column(mine, "qvec"), ([], [], [], [])
-        q = vectors.unpack(qvec).astype(np.float64)
-        for i, (ids, sims, done, want) in enumerate(zip(*[column(mine, n).to_numpy(False) for n in
-                                                          ("ids", "sims", "done", "want")], strict=True)):
-            got = np.einsum("ij,j->i", x[np.searchsorted(number, want)].astype(np.float64), q[i])
-            ids, sims = np.r_[ids, want].astype(np.int64), np.r_[sims, got].astype(np.float64)
-            done = np.r_[done, np.zeros(len(want), bool)].astype(bool)
-            top = np.lexsort((ids, -sims))[:beam]
-            ids, sims, done = ids[top], sims[top], done[top]
-            chosen = np.flatnonzero(~done)[:expand]
-            done[chosen] = True
-            for v, to in zip((ids, sims, done, ids[chosen]), out, strict=True):
-                to.append(v)
-        yield from emit(t.column("home")[0].as_py(), column(mine, "q"), qvec, *out)
-
-    def gather(batches):
-        t = read_all(batches)
-        if t is None:
+def _search(index: Index, queries: DataFrame, beam: int, expand: int, k: int) -> DataFrame:
+    """queries (q, vec, start): (q, node, score) of the best k + 1 nodes of each, and of all as near as the last of them."""
+    tables, vectors, parts = index.tables, index.vectors, index.parts
+    groups = parts_of(queries.count(), GROUP)
+    asking = np.dtype([("q", "<u4"), ("least", "<f8"), ("vec", vectors.kind, (vectors.dims,))])
+
+    def begin(batches):
+        def sent():
+            for b in batches:
+                q, home = b.column("q").to_numpy(), b.column("home").to_numpy()
+                yield from posts("q", home, vectors.records(q, vectors.unpack(b.column("vec"))))
+                row, node = flat(b.column("start"))
+                yield from posts("t", home[row], records(START, q[row], node))
+        yield from mailed(sent())
+
+    def known(mail: Mail) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers and vectors of the group's queries; a query's place among them stands for it in messages."""
+        held = mail.take("q", vectors.record)
+        held = held.take(np.argsort(held["node"]))
+        return np.ascontiguousarray(held["node"]), held["vec"]
+
+    def to_score(home: int, x: np.ndarray, least: np.ndarray, key: np.ndarray) -> Iterator[Post]:
+        """Pairs to score for the nodes' parts (c), with the queries' vectors, each once for a part (k)."""
+        q, node = (key >> np.uint64(2 * BITS)).astype(np.int64), node_of(key)
+        yield from posts("c", part_of(node), records(PAIR, q, node), home)
+        there = distinct(q * (1 << BITS) + part_of(node))
+        q, part = there >> BITS, (there & ((1 << BITS) - 1)).astype(np.int32)
+        for lo in range(0, len(q), 1 << 15):
+            who = q[lo:lo + (1 << 15)]
+            yield from posts("k", part[lo:lo + (1 << 15)], records(asking, who, least[who], x[who]), home)
+
+    def first(home: int, mail: Mail) -> Iterator[Post]:
+        number, x = known(mail)
+        start = mail.take("t", START)
+        key = distinct(pair_key(np.searchsorted(number, start["q"]), start["node"]))
+        yield from to_score(home, x, np.full(len(number), -np.inf), key)
+
+    def follow(home: int, mail: Mail) -> Iterator[Post]:
+        """Links of the nodes to expand (n)."""
+        links = mail.take("l", LINK)
+        asked, src = mail.taken("e", PAIR)
+        from_node, nbr = np.ascontiguousarray(links["node"]), np.ascontiguousarray(links["nbr"])
+        order = np.argsort(from_node, kind="stable")
+        from_node, nbr = from_node[order], nbr[order]
+        lo, hi = (np.searchsorted(from_node, asked["node"], side=side) for side in ("left", "right"))
+        for group in distinct(src):
+            mine = np.flatnonzero(src == group)
+            n = hi[mine] - lo[mine]
+            at = np.repeat(lo[mine], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            yield from posts("n", np.full(len(at), group, np.int32), records(PAIR, np.repeat(asked["q"][mine], n), nbr[at]))
+
+    def unseen(home: int, mail: Mail) -> Iterator[Post]:
+        number, x = known(mail)
+        state, met = mail.take("s", BEAM), mail.take("n", PAIR)
+        key, seen = distinct(pair_key(met["q"], met["node"])), distinct(pair_key(state["q"], state["node"]))
+        key = key[seen[np.minimum(np.searchsorted(seen, key), len(seen) - 1)] != key]
+        least = np.full(len(number), -np.inf)
+        last = np.flatnonzero(ranks(np.ascontiguousarray(state["q"])) == beam - 1)
+        least[state["q"][last]] = state["sim"][last]
+        yield from to_score(home, x, least, key)
+
+    def score(home: int, mail: Mail) -> Iterator[Post]:
+        """Scores that can enter the beams (h): inner products in double precision."""
+        held = mail.take("v", vectors.record)
+        x = np.empty((len(held), vectors.dims), vectors.kind)
+        x[position(held["node"])] = held["vec"]                     # every position of a part is a node
+        pairs, src = mail.taken("c", PAIR)
+        asked, asked_src = mail.taken("k", asking)
+        for group in distinct(src):
+            mine, there = pairs[src == group], asked[asked_src == group]
+            there = there.take(np.argsort(there["q"]))
+            place, at = np.searchsorted(there["q"], mine["q"]), position(mine["node"])
+            qx, sims = there["vec"].astype(np.float64), np.empty(len(mine))
+            for lo in range(0, len(mine), 2048):
+                part = slice(lo, lo + 2048)
+                sims[part] = np.einsum("ij,ij->i", x[at[part]].astype(np.float64), qx[place[part]])
+            in_reach = sims >= there["least"][place]
+            yield from posts("h", np.full(in_reach.sum(), group, np.int32),
+                             records(HIT, mine["q"][in_reach], mine["node"][in_reach], sims[in_reach]))
+
+    def best(home: int, mail: Mail) -> Iterator[Post]:
+        """The beams (s), by query and falling score, and the nodes to expand next (e)."""
+        state, hits = mail.take("s", BEAM), mail.take("h", HIT)
+        q, node, sim = (np.r_[state[c], hits[c]] for c in ("q", "node", "sim"))
+        done = np.r_[state["done"], np.zeros(len(hits), bool)]
+        at = np.lexsort((node, -sim, q))
+        at = at[ranks(q[at]) < beam]
+        q, node, sim, done = q[at], node[at], sim[at], done[at]
+        waiting = np.flatnonzero(~done)
+        chosen = waiting[ranks(q[waiting]) < expand]
+        done[chosen] = True
+        yield from own("s", home, records(BEAM, q, node, sim, done))
+        yield from posts("e", part_of(node[chosen]), records(PAIR, q[chosen], node[chosen]), home)
+
+    def result(batches):
+        mail = Mail(batches)
+        if mail.home is None:
             return
-        mine, there = parted(t)
-        number = column(there, "ask").to_numpy()
-        at = np.argsort(number)
-        number, links = number[at], column(there, "nbr").to_numpy(False)
-        keep = [column(mine, n).to_numpy(False) for n in ("ids", "sims", "done", "want")]
-        fresh = []
-        for ids, _, _, want in zip(*keep, strict=True):
-            met = [links[at[p]] for p, w in zip(np.searchsorted(number, want), want, strict=True)
-                   if p < len(number) and number[p] == w]
-            fresh.append(np.setdiff1d(np.concatenate(met), ids) if met else np.zeros(0, np.int64))
-        yield from emit(t.column("home")[0].as_py(), column(mine, "q"), column(mine, "qvec"), *keep[:3], fresh)
-
-    def step(work, table, value, fn):
-        asked = work.where("q is null").select("home", "ask").join(
-            table.select(F.col("node").alias("ask"), value), "ask")
-        return groups.gather(asked.unionByName(work.where("q is not null"), allowMissingColumns=True), F.col("home")) \
-            .mapInArrow(fn, state)
-
-    begin = queries.select(F.pmod(F.xxhash64("vec"), F.lit(groups.parts)).cast("int").alias("home"), "q", F.col("vec").alias("qvec"),
-                           F.array().cast("array<bigint>").alias("ids"), F.array().cast("array<double>").alias("sims"),
-                           F.array().cast("array<boolean>").alias("done"), F.col("start").alias("want"),
-                           F.lit(None).cast("bigint").alias("ask"))
-    begin = tables.store(begin, "ann-wait")
-    asks = begin.select("home", F.explode("want").alias("ask")).distinct()
-    work = begin.unionByName(asks, allowMissingColumns=True)
+        number, _ = known(mail)
+        state = mail.take("s", BEAM)
+        q, sim = np.ascontiguousarray(state["q"]), np.ascontiguousarray(state["sim"])
+        least = np.full(len(number), -np.inf)
+        last = np.flatnonzero(ranks(q) == k)
+        least[q[last]] = sim[last]
+        near = sim >= least[q]
+        yield pa.RecordBatch.from_arrays([pa.array(number[q[near]]), pa.array(state["node"][near]), pa.array(sim[near])],
+                                         names=["q", "node", "score"])
+
+    dealt = queries.select(F.pmod(F.xxhash64("vec"), F.lit(groups)).cast("int").alias("home"), "q", "vec", "start")
+    asked = tables.store(dealt.mapInArrow(begin, MESSAGE), "ann-asked")
+    vecs = asked.where("kind = 'q'")
+    new = exchanged(asked, groups, first)
+    beams = None
     while True:
-        work = tables.store(step(work, index.nodes, "vec", score), "ann-scored")
-        if work.where("q is null").isEmpty():
-            return work.select("q", "ids", "sims")
-        work = tables.store(step(work, index.links, "nbr", gather), "ann-wait")
+        hits = exchanged(new.unionByName(index.held), parts, score)
+        work = tables.store(exchanged(hits.unionByName(beams) if beams else hits, groups, best), "ann-work")
+        beams, wanted = work.where("kind = 's'"), work.where("kind = 'e'")
+        if wanted.isEmpty():
+            return vecs.unionByName(beams).repartitionById(groups, F.col("home")) \
+                .mapInArrow(result, "q bigint, node bigint, score double")
+        links = exchanged(wanted.unionByName(index.links), parts, follow)
+        new = exchanged(links.unionByName(vecs).unionByName(beams), groups, unseen)
 
 
 def search(index: Index, queries: DataFrame, k: int = 20, beam: int = 160, expand: int = 16) -> DataFrame:
@@ -546,11 +721,8 @@ def search(index: Index, queries: DataFrame, k: int = 20, beam: int = 160, expan
     start = F.when(F.col("node").isNotNull(), F.array("node")).otherwise(entries)
     asked = index.tables.store(known.select(F.coalesce("node", F.bitwise_not(F.abs(F.xxhash64("vec")))).alias("q"), "vec",
                                             start.alias("start")), "ann-queries")
-    found = _search(index, asked, beam, expand)
     # The first k + 1 nodes, and those as near as the last of them, hold the k nearest ids but the query's own.
-    least = F.coalesce(F.get("sims", F.lit(k)), F.lit(float("-inf")))
-    near = found.select("q", F.explode(F.filter(F.arrays_zip("ids", "sims"), lambda z: z["sims"] >= least)).alias("z")) \
-        .select("q", F.col("z.ids").alias("node"), F.col("z.sims").alias("score"))
+    near = _search(index, asked, beam, expand, k)
     near = near.join(index.nodes.select("node", "ids"), "node").select("q", "score", F.explode("ids").alias("vec_id"))
     named = queries.join(asked.select("q", "vec"), "vec").select("query_id", "q")
     pairs = near.join(named, "q").where("query_id <> vec_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
